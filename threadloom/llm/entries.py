@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from threadloom.llm import chat
+from threadloom.llm import bpe, chat, warc
 
 
 def queries() -> dict:
     return {
+        "op5_warc": warc.op5_warc,
+        "op6_byte_bpe": bpe.op6_byte_bpe,
         "op10_chat_formatting": chat.op10_chat_formatting,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_warc": warc.OP5_SQL,
         "op10_chat_formatting": chat.OP10_SQL,
     }
