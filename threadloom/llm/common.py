@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 
@@ -18,7 +19,15 @@ SPACE = r"[\x20\x09-\x0D]+"
 _ROOT: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """Lets Python workers of a local session import this package where the driver's folder isn't theirs."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if spark.sparkContext.master.startswith("local[") and root not in os.environ.get("PYTHONPATH", "").split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = root
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

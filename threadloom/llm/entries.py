@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from threadloom.llm import bpe, chat, warc
+from threadloom.llm import bpe, chat, quality, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op5_warc": warc.op5_warc,
         "op6_byte_bpe": bpe.op6_byte_bpe,
+        "op7_toxicity": toxicity.op7_toxicity,
+        "op9_quality": quality.op9_quality,
         "op10_chat_formatting": chat.op10_chat_formatting,
     }
 
