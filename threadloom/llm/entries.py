@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from threadloom.llm import bpe, chat, quality, toxicity, warc
+from threadloom.llm import bpe, chat, minhash, quality, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_minhash_dedup": minhash.op1_minhash_dedup,
         "op5_warc": warc.op5_warc,
         "op6_byte_bpe": bpe.op6_byte_bpe,
         "op7_toxicity": toxicity.op7_toxicity,
@@ -17,6 +18,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_minhash_dedup": minhash.OP1_SQL,
         "op5_warc": warc.OP5_SQL,
         "op10_chat_formatting": chat.OP10_SQL,
     }
