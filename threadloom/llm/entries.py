@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadloom.llm import bpe, chat, minhash, quality, toxicity, warc
+from threadloom.llm import bpe, chat, minhash, quality, substring, toxicity, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op5_warc": warc.op5_warc,
         "op6_byte_bpe": bpe.op6_byte_bpe,
         "op7_toxicity": toxicity.op7_toxicity,
+        "op8_substring_dedup": substring.op8_substring_dedup,
         "op9_quality": quality.op9_quality,
         "op10_chat_formatting": chat.op10_chat_formatting,
     }
@@ -20,5 +21,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": minhash.OP1_SQL,
         "op5_warc": warc.OP5_SQL,
+        "op8_substring_dedup": substring.OP8_SQL,
         "op10_chat_formatting": chat.OP10_SQL,
     }
