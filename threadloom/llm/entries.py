@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from threadloom.llm import bpe, chat, minhash, quality, substring, toxicity, warc
+from threadloom.llm import bpe, chat, fingerprint, minhash, quality, sharding, substring, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_minhash_dedup": minhash.op1_minhash_dedup,
+        "op2_fingerprints": fingerprint.op2_fingerprints,
+        "op4_sharding": sharding.op4_sharding,
         "op5_warc": warc.op5_warc,
         "op6_byte_bpe": bpe.op6_byte_bpe,
         "op7_toxicity": toxicity.op7_toxicity,
@@ -20,6 +22,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": minhash.OP1_SQL,
+        "op4_sharding": sharding.OP4_SQL,
         "op5_warc": warc.OP5_SQL,
         "op8_substring_dedup": substring.OP8_SQL,
         "op10_chat_formatting": chat.OP10_SQL,
