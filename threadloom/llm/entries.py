@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from threadloom.llm import bpe, chat, fingerprint, minhash, quality, sharding, substring, toxicity, warc
+from threadloom.llm import bpe, chat, decontaminate, fingerprint, minhash, quality, sharding, substring, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_minhash_dedup": minhash.op1_minhash_dedup,
         "op2_fingerprints": fingerprint.op2_fingerprints,
+        "op3_decontaminate": decontaminate.op3_decontaminate,
         "op4_sharding": sharding.op4_sharding,
         "op5_warc": warc.op5_warc,
         "op6_byte_bpe": bpe.op6_byte_bpe,
