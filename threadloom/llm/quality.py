@@ -146,7 +146,8 @@ def _bags(batches):
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT, sample_rows: int = SAMPLE_ROWS) -> dict | None:
     """The model, or None if the labels don't have both kinds."""
     sample = training_sample(docs, labels, "quality", folds, fold, sample_rows)
-    rows = materialize(sample.mapInArrow(_bags, "label int, n int, x binary"), "quality-sample").orderBy(F.xxhash64("x"), "label").collect()
+    rows = materialize(sample.mapInArrow(_bags, "label int, n int, x binary"), "quality-sample").collect()
+    rows.sort(key=lambda r: (r.label, r.n, bytes(r.x)))  # the fit doesn't depend on the order of partitions
     y = np.array([r.label for r in rows], dtype=np.float32)
     if not len(y) or y.min() == y.max():
         return None
