@@ -33,10 +33,10 @@ from threadloom.llm.common import table
 MEMO = 200_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
-ENCODED = "doc_id long, n_tokens long, ids array<int>"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-_ENCODED_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
+ENCODED = DIGESTS + ", ids array<int>"
 _DIGEST_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+_ENCODED_SCHEMA = _DIGEST_SCHEMA.append(pa.field("ids", pa.list_(pa.int32())))
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -238,41 +238,41 @@ def _digests(shared):
     def run(batches):
         codec = _codec(shared)
         for batch in batches:
-            ids, counts, encoded, decoded = [], [], [], []
-            for doc, text in _texts(batch):
-                spelled = codec.encode_text(text)
-                ids.append(doc)
-                counts.append(spelled.count(" ") + 1 if spelled else 0)
-                encoded.append(hashlib.sha256(spelled.encode()).hexdigest())
-                decoded.append(hashlib.sha256(codec.decode_text(spelled)).hexdigest())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())], schema=_DIGEST_SCHEMA)
+            rows = [_digest(codec, doc, text)[0] for doc, text in _texts(batch)]
+            yield pa.RecordBatch.from_pylist(rows, schema=_DIGEST_SCHEMA)
 
     return run
 
 
+def _digest(codec: Codec, doc, text: str) -> tuple[dict, str]:
+    """The row of digests of a text's ids and of what they decode to, and the ids."""
+    spelled = codec.encode_text(text)
+    return {"doc_id": doc, "n_tokens": spelled.count(" ") + 1 if spelled else 0, "ids_sha256": hashlib.sha256(spelled.encode()).hexdigest(), "decoded_sha256": hashlib.sha256(codec.decode_text(spelled)).hexdigest()}, spelled
+
+
 def _encoded(shared):
     def run(batches):
         codec = _codec(shared)
         for batch in batches:
-            docs, offsets, ids, held = [], [0], [], 0
+            rows, ids, held = [], [], 0
             for doc, text in _texts(batch):
-                spelled = codec.encode_text(text)
-                docs.append(doc)
+                row, spelled = _digest(codec, doc, text)
+                rows.append(row)
                 ids.append(np.array(spelled.split(), dtype=np.int32))
                 held += len(ids[-1])
-                offsets.append(held)
-                if held > 1 << 21:
-                    yield _rows(docs, offsets, ids)
-                    docs, offsets, ids, held = [], [0], [], 0
-            yield _rows(docs, offsets, ids)
+                if held > 1 << 20:
+                    yield _rows(rows, ids)
+                    rows, ids, held = [], [], 0
+            yield _rows(rows, ids)
 
     return run
 
 
-def _rows(docs, offsets, ids):
+def _rows(rows: list[dict], ids: list[np.ndarray]):
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
     values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-    return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(np.diff(offsets), pa.int64()), lists], schema=_ENCODED_SCHEMA)
+    digests = pa.RecordBatch.from_pylist(rows, schema=_DIGEST_SCHEMA)
+    return pa.RecordBatch.from_arrays([*digests.columns, pa.ListArray.from_arrays(pa.array(offsets), values)], schema=_ENCODED_SCHEMA)
 
 
 def _input(docs: DataFrame) -> DataFrame:
@@ -280,7 +280,7 @@ def _input(docs: DataFrame) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and ids of each row of docs (doc_id, text)."""
+    """doc_id, n_tokens, digests and ids of each row of docs (doc_id, text)."""
     return _input(docs).mapInArrow(_encoded(share_vocabulary(docs.sparkSession, path, pattern)), ENCODED)
 
 

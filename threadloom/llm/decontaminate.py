@@ -25,8 +25,10 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -182,7 +184,7 @@ class _TermIds(dict):
         return out
 
 
-def _candidates(index: Index, ids: np.ndarray, half: np.ndarray, n_halves: int) -> np.ndarray:
+def _candidates(index: Index, ids: np.ndarray, half: np.ndarray) -> np.ndarray:
     """Passages (by the number of their first half) in which some segment can reach the threshold."""
     essential = np.flatnonzero(ids >= index.first_essential)
     if not len(essential):
@@ -206,67 +208,96 @@ def _candidates(index: Index, ids: np.ndarray, half: np.ndarray, n_halves: int)
 _INDEXES: dict = {}
 
 
+def _index(shared) -> tuple[Index, _TermIds]:
+    """This worker's index of a broadcast block of items."""
+    key, items = shared.value
+    if key not in _INDEXES:
+        _INDEXES.clear()
+        index = Index(items)
+        _INDEXES[key] = (index, _TermIds(index))
+    return _INDEXES[key]
+
+
+def matches(index: Index, memo: _TermIds, texts: list[str | None]) -> list[tuple]:
+    """(row, item number, score, first word, question overlap, answer overlap) of each verified match."""
+    if not index.term or not texts:
+        return []
+    step = PASSAGE_WORDS // 2
+    ids, halves, first_half = [], [], [0]
+    for text in texts:
+        words = (text or "").encode().split()
+        own = np.fromiter(map(memo.__getitem__, words), np.int32, len(words))
+        own = own[own > -2]
+        ids.append(own)
+        halves.append(np.arange(len(own)) // step + first_half[-1])
+        first_half.append(first_half[-1] + len(own) // step + 2)  # one empty half between texts
+    found: dict[tuple[int, int], tuple[float, int]] = {}
+    for p in _candidates(index, np.concatenate(ids), np.concatenate(halves)).tolist():
+        row = bisect_left(first_half, p + 1) - 1
+        at = (p - first_half[row]) * step
+        terms = np.unique(ids[row][at : at + PASSAGE_WORDS])
+        for segment, score in index.search(terms[terms >= 0].tolist()):
+            k = (row, index.item_of[segment])
+            if k not in found or score > found[k][0]:
+                found[k] = (score, at)
+    out, last, text_terms, cache = [], -1, [], {}
+    for (row, item), (score, at) in sorted(found.items()):
+        if row != last:
+            last, text_terms, cache = row, terms_of(texts[row]), {}
+        _, question, answer = index.items[item]
+        q, a = overlap(question, text_terms, cache), overlap(answer, text_terms, cache)
+        if q >= OVERLAP and a >= OVERLAP:
+            out.append((row, item, score, at, q, a))
+    return out
+
+
 def _match(shared):
     def run(batches):
-        key, items = shared.value
-        if key not in _INDEXES:
-            _INDEXES.clear()
-            index = Index(items)
-            _INDEXES[key] = (index, _TermIds(index))
-        index, memo = _INDEXES[key]
-        step = PASSAGE_WORDS // 2
+        index, memo = _index(shared)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                ids = part.column(0).to_pylist()
+                found = matches(index, memo, part.column(1).to_pylist())
+                if found:
+                    yield pa.RecordBatch.from_pylist([dict(zip(_MATCH_SCHEMA.names, (ids[row], index.items[item][0], *rest), strict=True)) for row, item, *rest in found], schema=_MATCH_SCHEMA)
+
+    return run
+
+
+def _keep(shared):
+    def run(batches):
+        index, memo = _index(shared)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                texts = part.column(1).to_pylist()
-                ids, halves, first_half, begins = [], [], [0], []
-                for text in texts:
-                    words = (text or "").encode().split()
-                    own = np.fromiter(map(memo.__getitem__, words), np.int32, len(words))
-                    own = own[own > -2]
-                    ids.append(own)
-                    halves.append(np.arange(len(own)) // step + first_half[-1])
-                    first_half.append(first_half[-1] + len(own) // step + 2)  # one empty half between texts
-                    begins.append(len(own))
-                flat, half = np.concatenate(ids), np.concatenate(halves)
-                if not len(index.term):
-                    continue
-                found: dict[tuple[int, int], tuple[float, int]] = {}
-                for p in _candidates(index, flat, half, first_half[-1]).tolist():
-                    row = bisect_left(first_half, p + 1) - 1
-                    at = (p - first_half[row]) * step
-                    terms = np.unique(ids[row][at : at + PASSAGE_WORDS])
-                    for segment, score in index.search(terms[terms >= 0].tolist()):
-                        k = (row, index.item_of[segment])
-                        if k not in found or score > found[k][0]:
-                            found[k] = (score, at)
-                out, last, terms_of_row, cache = [], -1, [], {}
-                for (row, item), (score, at) in sorted(found.items()):
-                    if row != last:
-                        last, terms_of_row, cache = row, terms_of(texts[row]), {}
-                    number, question, answer = index.items[item]
-                    q, a = overlap(question, terms_of_row, cache), overlap(answer, terms_of_row, cache)
-                    if q >= OVERLAP and a >= OVERLAP:
-                        out.append({"doc_id": part.column(0)[row].as_py(), "item_id": number, "score": score, "first_word": at, "question_overlap": q, "answer_overlap": a})
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, schema=_MATCH_SCHEMA)
+                hit = {m[0] for m in matches(index, memo, part.column("text").to_pylist())}
+                yield part.filter(pa.array([i not in hit for i in range(part.num_rows)])) if hit else part
 
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
-    """A row for each row of docs (key, text) and item that it holds; key is returned as doc_id."""
-    spark = docs.sparkSession
+def _blocks(spark, benchmark: DataFrame):
+    """The items, broadcast in blocks of a checked size."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = max(1, math.ceil(2 * size / BLOCK_BYTES)) if size > BLOCK_BYTES else 1
-    rows, out = docs.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), None
-    for block in range(blocks):
-        part = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect())
-        shared = spark.sparkContext.broadcast(((spark.sparkContext.applicationId, id(items), block, size), part))
-        found = rows.mapInArrow(_match(shared), MATCHES)
-        out = found if out is None else out.unionByName(found)
-    return out
+    n = max(1, math.ceil(2 * size / BLOCK_BYTES)) if size > BLOCK_BYTES else 1
+    run = uuid.uuid4().hex
+    for block in range(n):
+        part = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == block).collect())
+        yield spark.sparkContext.broadcast(((run, block), part))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """A row for each row of docs (doc_id, text) and item that it holds."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    parts = [rows.mapInArrow(_match(shared), MATCHES) for shared in _blocks(docs.sparkSession, benchmark)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs that hold no item, with all columns; a filter of map tasks alone."""
+    return reduce(lambda df, shared: df.mapInArrow(_keep(shared), docs.schema), _blocks(docs.sparkSession, benchmark), docs)
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:

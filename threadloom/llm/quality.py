@@ -156,25 +156,43 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fold: int = HELD
     return train(x, sizes, y)
 
 
+def predict(model: dict | None, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scores, the passage with the most attention, and the number of passages."""
+    bags = [encode(t) for t in texts]
+    sizes = np.array([len(b) for b in bags])
+    if model is None:
+        return np.ones(len(bags)), np.zeros(len(bags), np.int32), sizes
+    first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    *_, a, _bag, _z, p = _forward(model, np.concatenate(bags), first)
+    return p.astype(np.float64), np.array([np.argmax(a[f : f + n]) for f, n in zip(first, sizes, strict=True)], dtype=np.int32), sizes
+
+
 def _score(shared):
     def run(batches):
-        model = shared.value
         for batch in batches:
-            texts = batch.column(1)
             for at in range(0, batch.num_rows, 64):
-                bags = [encode(t.as_py()) for t in texts[at : at + 64]]
-                sizes = np.array([len(b) for b in bags])
-                first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                if model is None:
-                    p, top = np.ones(len(bags)), np.zeros(len(bags), np.int32)
-                else:
-                    *_, a, _bag, _z, p = _forward(model, np.concatenate(bags), first)
-                    top = np.array([np.argmax(a[f : f + n]) for f, n in zip(first, sizes, strict=True)], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 64), pa.array(p.astype(np.float64)), pa.array(top, pa.int32()), pa.array(sizes.astype(np.int32))], schema=_SCORED_SCHEMA)
+                part = batch.slice(at, 64)
+                p, top, sizes = predict(shared.value, part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p), pa.array(top, pa.int32()), pa.array(sizes.astype(np.int32))], schema=_SCORED_SCHEMA)
 
     return run
 
 
+def _keep(shared):
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                yield part.filter(pa.array(predict(shared.value, part.column("text").to_pylist())[0] >= 0.5))
+
+    return run
+
+
+def accepted(docs: DataFrame, model: dict | None) -> DataFrame:
+    """The rows of docs that the model accepts, with all columns; a filter of map tasks alone."""
+    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)
+
+
 def score(docs: DataFrame, model: dict | None) -> DataFrame:
     """doc_id, score, the passage with the most attention and the number of passages of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
