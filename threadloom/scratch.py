@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOT: dict[str, str] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -54,10 +55,18 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends here and survives lost executors."""
+    """Writes df to the shared folder and reads it back: lineage ends here and survives lost executors.
+
+    Nothing reads the write's shuffle files again, so Spark is told to drop them when it ends."""
     spark = df.sparkSession
+    prepare(spark)
     path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
