@@ -2,85 +2,25 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.scratch import drop_path, materialize, prepare, release, scratch_path
+
+__all__ = ["BROADCAST_BYTES", "SPACE", "broadcast_if_small", "drop_path", "materialize", "parallelism", "prepare", "release", "scratch_path", "table"]
+
 #: Largest side that is ever broadcast, in bytes, by a bound worked out from a count.
 BROADCAST_BYTES = 8 << 20
 
 #: Java regular expression of the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
 
-_ROOT: dict[str, str] = {}
-
-
-def prepare(spark: SparkSession) -> None:
-    """Lets Python workers of a local session import this package where the driver's folder isn't theirs."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    if spark.sparkContext.master.startswith("local[") and root not in os.environ.get("PYTHONPATH", "").split(":"):
-        spark.sparkContext.environment["PYTHONPATH"] = root
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """A folder of this session below ``spark.checkpoint.dir``, which all executors share.
-
-    Only where that setting is missing (tests on one machine) a temporary folder is made.
-    It goes when the driver ends.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.gettempdir()
-    key = f"{spark.sparkContext.applicationId}|{base}"
-    if key not in _ROOT:
-        _ROOT[key] = f"{base.rstrip('/')}/threadloom-{uuid.uuid4().hex}"
-        atexit.register(_remove, spark, _ROOT[key])
-    return _ROOT[key]
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # noqa: BLE001  the gateway may be gone when the interpreter ends
-        pass
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends here and survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch = path
-    return out
-
-
-def release(df: DataFrame) -> None:
-    """Deletes a materialized table that nothing reads any more."""
-    drop_path(df.sparkSession, df._scratch)
-
-
 def broadcast_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
     """df, marked for broadcast if its counted rows stay below the bound; else Spark shuffles both sides."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

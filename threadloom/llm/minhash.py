@@ -6,15 +6,14 @@ shifted by k. Two permutations make all coordinates.
 
 Plan: (1) one pass makes each text's set size, a 128-bit hash of its set and its signature;
 (2) texts with equal sets are one class, so copies never meet again; (3) signatures of classes are cut
-into bands; a band value that several classes share is a bucket; (4) every class proposes a
-link to the smallest class of each of its buckets, the likeliest proposal is verified on the full sets, and
-verified links are contracted; (5) only buckets that still hold several components are searched
-further, in blocks of ``BLOCK`` classes: first the nearest class of another component of each
-class is verified and contracted, then every cross-component pair that may reach the threshold.
-Pairs within a component are never made, and no bucket is capped.
+into bands; a band value that several classes share is a bucket; (4) every class proposes a link to the
+leader (smallest class) it shares most buckets with, which is verified on the full sets, and verified links are contracted; (5) only buckets that still hold several
+components are searched further, in blocks of bounded size: cross-component pairs that may reach the threshold are verified there on the
+full sets, likeliest first, and only links that join components leave the block. Pairs within a component are never
+compared, a pair is looked at in the first bucket it shares, and no bucket is capped.
 
 A pair at the threshold shares no band with probability (1 - s^ROWS)^BANDS (2e-6 at 0.8), and pairs whose signatures agree
-in fewer than ``LEAST`` of the coordinates aren't verified (3e-6 at 0.8).
+in fewer than ``LEAST`` of the coordinates aren't verified (2e-6 at 0.8).
 
 Defined cases: null and empty texts have no shingle, are components of their own and are kept; texts with fewer words than a
 shingle are one shingle; rows of one doc_id are judged by their own text, and a link of one of them
@@ -30,15 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import words
-from threadloom.llm.common import broadcast_if_small, materialize, table
-from threadloom.llm.components import connected_components
+from threadloom.llm.common import broadcast_if_small, materialize, prepare, table
+from threadloom.operators.components import connected_components
 
 BANDS, ROWS = 25, 4
 K = BANDS * ROWS
 #: Share of equal coordinates below which a pair is not verified.
-LEAST = 0.58
-#: Classes compared by one call, per side of a block pair.
-BLOCK = 2048
+LEAST = 0.6
+#: Classes, and shingles, on one side of a block pair.
+BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
+#: Largest vocabulary of a block that bit sets are used for.
+BITSET_WORDS = 1 << 16
 _CHUNK = 512
 
 SIGNED = "doc_id long, n_shingles long, set_hi long, set_lo long, signature binary"
@@ -85,51 +86,78 @@ def _sign(shingle_words: int, lower: bool):
     return run
 
 
-def _agreement(a: pa.Array, b: pa.Array) -> np.ndarray:
-    x = np.frombuffer(b"".join(a.to_pylist()), np.uint32).reshape(-1, K)
-    y = np.frombuffer(b"".join(b.to_pylist()), np.uint32).reshape(-1, K)
-    return (x == y).mean(axis=1)
-
-
-def _estimate(batches):
-    for batch in batches:
-        if batch.num_rows:
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(_agreement(batch.column("sa"), batch.column("sb")))], names=["a", "b", "estimate"])
-
-
-def _blocks(share: int, best_only: bool):
-    """Pairs of a group's classes that lie in different components, fit in size and agree in enough
-    coordinates; best_only: of each class the pair that agrees most.
-
-    A group is a block pair: rows of side 0 are compared with those of side 1 or, where there are
-    none, with each other."""
-
-    def pairs(x, y, same):
-        for i in range(len(x["rep"])):
-            j = i + 1 if same and not best_only else 0
-            fits = (y["comp"][j:] != x["comp"][i]) & (100 * np.minimum(y["n"][j:], x["n"][i]) >= share * np.maximum(y["n"][j:], x["n"][i]))
-            at = np.flatnonzero(fits) + j
-            if not len(at):
-                continue
-            e = (y["sig"][at] == x["sig"][i]).mean(axis=1)
-            if best_only:
-                k = int(np.argmax(e))
-                at, e = at[k : k + 1], e[k : k + 1]
-            for other in y["rep"][at[e >= LEAST]].tolist():
-                yield int(x["rep"][i]), other
+def _candidates(x: dict, y: dict, same: bool, band: int, share: int):
+    """(agreement, i, j) of pairs that may be links: in different components, of fitting sizes, alike in enough
+    coordinates, and with this band as the first that they share (so a pair is looked at once, whatever number of buckets it shares)."""
+    own = slice(ROWS * band, ROWS * (band + 1))
+    for i in range(len(x["rep"])):
+        low = i + 1 if same else 0
+        fits = (y["comp"][low:] != x["comp"][i]) & (100 * np.minimum(y["n"][low:], x["n"][i]) >= share * np.maximum(y["n"][low:], x["n"][i]))
+        at = np.flatnonzero(fits) + low
+        if not len(at):
+            continue
+        equal = y["sig"][at] == x["sig"][i]
+        good = (equal.mean(axis=1) >= LEAST) & equal[:, own].all(axis=1)
+        if band:
+            good &= ~equal[:, : ROWS * band].reshape(len(at), band, ROWS).all(axis=2).any(axis=1)
+        for k in np.flatnonzero(good).tolist():
+            yield float(equal[k].mean()), i, int(at[k])
+
+
+class _Sets:
+    """Exact intersections of a block's sets: bit sets over their common vocabulary while that is small, else sorted arrays."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sets = sets
+        self.vocabulary = np.unique(np.concatenate(sets))
+        self.bits: dict[int, int] | None = {} if len(self.vocabulary) <= BITSET_WORDS else None
+
+    def _bitset(self, i: int) -> int:
+        if i not in self.bits:
+            marks = np.zeros(len(self.vocabulary), bool)
+            marks[np.searchsorted(self.vocabulary, self.sets[i])] = True
+            self.bits[i] = int.from_bytes(np.packbits(marks).tobytes(), "big")
+        return self.bits[i]
+
+    def common(self, i: int, j: int) -> int:
+        if self.bits is not None:
+            return (self._bitset(i) & self._bitset(j)).bit_count()
+        return len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
+
+
+def _blocks(share: int):
+    """Verified links between different components of a block, as many as join them: likeliest pairs first, none between classes that
+    are joined by then. A block is a bucket's classes, or a pair of parts of a large bucket: rows of side 0 against those of side 1."""
 
     def run(key, group):
-        data = {"rep": group.column("rep").to_numpy(), "comp": group.column("comp").to_numpy(), "n": group.column("n").to_numpy(), "sig": np.frombuffer(b"".join(group.column("short").to_pylist()), np.uint8).reshape(-1, K)}
+        band = key[0].as_py()
+        names = group.column("rep").to_numpy()
+        data = {"rep": names, "comp": group.column("comp").to_numpy(), "n": group.column("n").to_numpy(), "sig": np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, K)}
+        place = np.arange(len(names))
         side = group.column("side").to_numpy()
-        x, y = ({k: v[side == s] for k, v in data.items()} for s in (0, 1))
-        found = set()
-        for a, b in pairs(x, y, False) if len(y["rep"]) else pairs(x, x, True):
-            found.add((min(a, b), max(a, b)))
-        if best_only and len(y["rep"]):
-            for a, b in pairs(y, x, False):
-                found.add((min(a, b), max(a, b)))
-        out = list(zip(*sorted(found), strict=True)) or [[], []]
-        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+        x, y = ({k: v[side == s] for k, v in (data | {"at": place}).items()} for s in (0, 1))
+        same = not len(y["rep"])
+        y = x if same else y
+        found = sorted(((-e, int(x["at"][i]), int(y["at"][j])) for e, i, j in _candidates(x, y, same, band, share)))
+        links = []
+        if found:
+            sets = _Sets([np.frombuffer(v, np.uint64) for v in group.column("hashes").to_pylist()])
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while parent.get(c, c) != c:
+                    c = parent[c]
+                return c
+
+            comp, sizes = data["comp"].tolist(), data["n"].tolist()
+            for _, i, j in found:
+                a, b = root(comp[i]), root(comp[j])
+                if a != b:
+                    common = sets.common(i, j)
+                    if 100 * common >= share * (sizes[i] + sizes[j] - common):
+                        parent[max(a, b)] = min(a, b)
+                        links.append((int(names[i]), int(names[j])))
+        return pa.table({"a": pa.array([v[0] for v in links], pa.int64()), "b": pa.array([v[1] for v in links], pa.int64())})
 
     return run
 
@@ -138,6 +166,7 @@ class NearDuplicates:
     """Classes of equal sets, verified links between classes, and components."""
 
     def __init__(self, docs: DataFrame, shingle_words: int, share: int = 80, lower: bool = True) -> None:
+        prepare(docs.sparkSession)
         self.share, self.shingle_words, self.lower = share, shingle_words, lower
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.signed = materialize(self.docs.mapInArrow(_sign(shingle_words, lower), SIGNED), "signatures")
@@ -147,11 +176,8 @@ class NearDuplicates:
         )
 
     def _bands(self) -> DataFrame:
-        keys = [F.xxhash64(F.lit(i), F.substring("signature", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS)]
-        return self.classes.select("rep", F.explode(F.array(*keys)).alias("bucket"))
-
-    def _sizes_fit(self, a: str, b: str) -> F.Column:
-        return F.least(a, b) * 100 >= F.greatest(a, b) * self.share
+        keys = [F.xxhash64(F.substring("signature", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS)]
+        return self.classes.select("rep", F.posexplode(F.array(*keys)).alias("band", "bucket"))
 
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets reach the threshold."""
@@ -180,51 +206,42 @@ class NearDuplicates:
     def links(self) -> DataFrame:
         """Verified links between classes, enough of them for exact components."""
         bands = self._bands()
-        shared = materialize(bands.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("members")).where("members > 1"), "buckets")
+        shared = materialize(bands.groupBy("band", "bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("members")).where("members > 1"), "buckets")
         if shared.isEmpty():
             return shared.select(F.col("leader").alias("a"), F.col("leader").alias("b"))
-        members = materialize(bands.join(shared, "bucket"), "members")
-        info = self.classes.select("rep", "n", "signature")
-        proposals = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-        signed = (
-            proposals.join(info.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb")), "b")
-            .join(info.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa")), "a")
-            .where(self._sizes_fit("na", "nb"))
-            .select("a", "b", "sa", "sb")
-        )
-        guesses = signed.mapInArrow(_estimate, "a long, b long, estimate double").where(F.col("estimate") >= LEAST)
-        first = materialize(guesses.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "proposals")
+        members = materialize(bands.join(shared.drop("members"), ["band", "bucket"]), "members")
+        # each class proposes one link: to the leader it shares most buckets with
+        votes = members.where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("votes"))
+        first = materialize(votes.groupBy(F.col("rep").alias("b")).agg(F.max_by("leader", F.struct("votes", -F.col("leader"))).alias("a")).select("a", "b"), "proposals")
         found = self._verify(first)
-        tried = first
-        open_members = members.select("bucket", "rep")
-        for best_only in (True, False):
-            parts = connected_components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            labelled = open_members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
-            mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-            still = materialize(labelled.join(mixed.select("bucket", "size"), "bucket"), "mixed")
-            more = materialize(self._cross_pairs(still, best_only).join(tried, ["a", "b"], "left_anti"), "pairs")
-            if not more.isEmpty():
-                found = materialize(found.union(self._verify(more)), "links")
-                tried = materialize(tried.union(more), "tried")
-            open_members = still.select("bucket", "rep")
-        return found
-
-    def _cross_pairs(self, members: DataFrame, best_only: bool) -> DataFrame:
-        """Pairs of classes that meet in a bucket, lie in different components and may be links."""
-        short = self.classes.select("rep", "n", self._short().alias("short"))
-        count = F.ceil(F.col("size") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+        parts = connected_components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        labelled = members.select("band", "bucket", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "bucket", "rep", F.coalesce("component", "rep").alias("comp"))
+        info = labelled.join(self.classes.select("rep", "n"), "rep")
+        mixed = info.groupBy("band", "bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.sum("n").alias("weight")).where("lo <> hi")
+        still = materialize(info.join(mixed.select("band", "bucket", "size", "weight"), ["band", "bucket"]), "mixed")
+        return found.union(self._cross_links(still))
+
+    def _cross_links(self, members: DataFrame) -> DataFrame:
+        """Links between components that meet in a bucket."""
+        ids = materialize(members.select(F.col("rep").alias("doc_id")).distinct(), "mixed-ids")
+        k, lower = self.shingle_words, self.lower
+
+        def sets(batches):
+            for batch in batches:
+                made = [words.shingles(words.hashes(words.split(t.as_py(), lower)), k) for t in batch.column(1)]
+                digests = [int.from_bytes(xxhash.xxh3_128_digest(s.tobytes())[:8], "big", signed=True) for s in made]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], names=["rep", "set_hi", "hashes"])
+
+        rows = self.docs.join(broadcast_if_small(ids, 16), "doc_id", "left_semi").mapInArrow(sets, "rep long, set_hi long, hashes binary")
+        full = materialize(rows.join(self.classes.select("rep", "set_hi", "signature"), ["rep", "set_hi"]).select("rep", "signature", "hashes").dropDuplicates(["rep"]), "mixed-sets")
+        blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
         dealt = (
-            members.withColumn("blocks", count).withColumn("own", own).join(short, "rep")
+            members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "comp", "n", "short")
+            .select("band", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "comp", "n")
+            .join(full, "rep")
         )
-        return dealt.groupBy("bucket", "i", "j").applyInArrow(_blocks(self.share, best_only), "a long, b long").distinct()
-
-    @staticmethod
-    def _short() -> F.Column:
-        """One byte of each coordinate."""
-        return F.concat(*[F.substring("signature", 4 * i + 1, 1) for i in range(K)])
+        return materialize(dealt.groupBy("band", "bucket", "i", "j").applyInArrow(_blocks(self.share), "a long, b long"), "cross-links")
 
     def result(self) -> DataFrame:
         parts = connected_components(self.links().select(F.col("a").alias("u"), F.col("b").alias("v")))
