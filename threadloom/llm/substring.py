@@ -23,7 +23,6 @@ columns are kept by ``dedup_documents`` and ignored by ``dedup_digests``.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
 import re
@@ -37,7 +36,7 @@ from threadloom.llm import words
 from threadloom.llm.common import materialize, parallelism, release, table
 
 WINDOW, LEVELS, LEFT, RIGHT = 20, 3, 6, 7
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 #: Bytes of input file that one chunk or bucket is made for.
 BUCKET_INPUT = 4 << 20
 
@@ -171,6 +170,7 @@ def _pack(batches):
 
 
 def _unpack(content: bytes) -> _Chunk:
+    pa.default_memory_pool().release_unused()  # of the chunk before
     rows = pa.ipc.open_stream(content).read_all().combine_chunks()
     batches = rows.to_batches()
     return _Chunk(batches[0] if batches else pa.RecordBatch.from_pylist([], schema=rows.schema))
@@ -335,12 +335,6 @@ def _document_rows(left, right):
     return pa.table(columns, schema=batch.schema)
 
 
-def _collect_garbage(spark) -> None:
-    """Lets the driver drop the shuffle files of steps whose results are written."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The chunk table, and of each chunk the places where windows start that start earlier in another chunk."""
     spark = docs.sparkSession
@@ -349,13 +343,9 @@ def _find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     chunks = materialize(docs.mapInArrow(_pack, "chunk long, rows binary"), "chunks")
     sent = chunks.mapInArrow(_send_anchors(buckets), "bucket int, chunk long, hashes binary, places binary")
     anchors = materialize(sent.groupBy("bucket").applyInArrow(_shared_anchors, "chunk long, places binary"), "anchors")
-    del sent
-    _collect_garbage(spark)
     windows = chunks.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(_window_schema(buckets), "bucket int, chunk long, hashes binary, checks binary, docs binary, places binary")
     later = materialize(windows.groupBy("bucket").applyInArrow(_later_windows, "chunk long, places binary"), "windows")
-    del windows
     release(anchors)
-    _collect_garbage(spark)
     return chunks, later
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Entries of a worker's memo of word hashes.
-MEMO = 300_000
+MEMO = 150_000
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
