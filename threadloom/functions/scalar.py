@@ -60,6 +60,7 @@ def human_delta(seconds: Column) -> Column:
     sign = F.when(seconds < 0, "-").otherwise("")
 
     def unit(per: int, name: str) -> Column:
-        return F.concat(sign, F.format_string("%.2f", size / F.lit(float(per))), F.lit(f" {name}"))
+        hundredths = F.floor(size / F.lit(float(per)) * F.lit(100.0) + F.lit(0.5))  # a tie of the binary value goes up
+        return F.concat(sign, F.floor(hundredths / 100).cast("string"), F.lit("."), F.lpad((hundredths % 100).cast("string"), 2, "0"), F.lit(f" {name}"))
 
     return F.when(seconds.isNull(), "n/a").when(size >= 86400, unit(86400, "days")).when(size >= 3600, unit(3600, "hours")).when(size >= 60, unit(60, "minutes")).otherwise(F.concat(sign, size.cast("string"), F.lit(" sec")))

@@ -58,7 +58,7 @@ def _related(spark, d):
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
 def _lines(spark, d):
@@ -188,6 +188,11 @@ def _fn_spark(spark, d):
     )
 
 
+def _hundredths(unit: int) -> str:
+    n = f"cast(floor(abs(id * 37 - 100000) / cast({unit} as double) * 100 + 0.5) as bigint)"
+    return f"({n} // 100) || '.' || lpad(cast({n} % 100 as varchar), 2, '0')"
+
+
 _FN_SQL = rf"""with {ITEMS_SQL}
 select id, {_DOMAIN} as host, case when nullif(time, 0) is not null then {_MONTH} end as month, time // 86400 * 86400 + 86399 as day_end,
   case when type = 'job' then 'jobs' when type <> 'story' then null when title ilike 'ask hn:%' then 'ask' when title ilike 'show hn:%' then 'show' when title ilike 'launch hn:%' then 'launch' else 'story' end as channel,
@@ -195,8 +200,8 @@ select id, {_DOMAIN} as host, case when nullif(time, 0) is not null then {_MONTH
   80 + length(coalesce(author, '')) + length(coalesce(title, '')) + length(text) + length(coalesce(url, '')) as raw_bytes,
   case when length(trim(regexp_replace(text, '\s+', ' ', 'g'))) > 240 then 243 else length(trim(regexp_replace(text, '\s+', ' ', 'g'))) end as flat_chars,
   round((id - parent) / cast(86400 as double), 6) as span_days,
-  case when abs(id * 37 - 100000) >= 86400 then printf('%.2f days', (id * 37 - 100000) / cast(86400 as double)) when abs(id * 37 - 100000) >= 3600 then printf('%.2f hours', (id * 37 - 100000) / cast(3600 as double))
-    when abs(id * 37 - 100000) >= 60 then printf('%.2f minutes', (id * 37 - 100000) / cast(60 as double)) else cast(id * 37 - 100000 as varchar) || ' sec' end as delta
+  case when id * 37 < 100000 then '-' else '' end || case when abs(id * 37 - 100000) >= 86400 then {_hundredths(86400)} || ' days' when abs(id * 37 - 100000) >= 3600 then {_hundredths(3600)} || ' hours'
+    when abs(id * 37 - 100000) >= 60 then {_hundredths(60)} || ' minutes' else cast(abs(id * 37 - 100000) as varchar) || ' sec' end as delta
 from items"""
 
 _WIDE = related.Config(min_edge_weight=0.05, max_edges_per_source=2)
@@ -237,7 +242,7 @@ def _entries() -> dict:
         "top3_user_domains": (lambda s, d: catalog.top_per_user(users.user_domains(i(s, d)), "domain"), us + "select *, cast(row_number() over (partition by user_key order by count desc, domain) as integer) as rn from user_domains qualify rn <= 8"),
         "top3_user_months": (lambda s, d: catalog.top_per_user(users.user_months(i(s, d)), "month"), us + "select *, cast(row_number() over (partition by user_key order by count desc, month) as integer) as rn from user_months qualify rn <= 8"),
         "smp1_sample": (lambda s, d: catalog.sample(i(s, d).select("id"), 100), plain + "select id from items order by md5('0#' || id), id limit 100"),
-        "usr1_user_stats": (lambda s, d: _rounded(_users(s, d), "avg_score"), us + "select *, round(sum_score / cast(items as double), 6) as avg_score from users"),
+        "usr1_user_stats": (lambda s, d: _rounded(_users(s, d), "avg_score"), us + "select *, round(sum_score / cast(items as double), 9) as avg_score from users"),
         "usr2_user_domains": (lambda s, d: users.user_domains(i(s, d)), us + "select * from user_domains"),
         "usr3_user_months": (lambda s, d: users.user_months(i(s, d)), us + "select * from user_months"),
         "usr4_user_shards": (lambda s, d: users.user_shards(_users(s, d).select("user_key"), 4).agg(F.min("user_lo").alias("lo"), F.max("user_hi").alias("hi"), F.sum("users").alias("users")), us + "select min(user_key) as lo, max(user_key) as hi, count(*) as users from users"),
@@ -263,16 +268,16 @@ def _entries() -> dict:
         "tok_profiles": (lambda s, d: _related(s, d).profiles.select("story_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").alias("n")), rel + "select id as story_id, array_to_string(tokens, ' ') as tokens, cast(len(tokens) as integer) as n from tokens"),
         "cmt1_comment_totals": (lambda s, d: _related(s, d).totals, rel + "select * from comment_totals"),
         "relg_evidence": (lambda s, d: related.evidence(_related(s, d).resolved).withColumn("targets", F.array_join("targets", ",")), rel + "select evidence_item_id, source_story_id, max(source_time) as source_time, max(source_score) as source_score, max(has_keyword) as has_keyword, string_agg(distinct target_story_id, ',' order by target_story_id) as targets from resolved group by all"),
-        "sco_edge_scores": (lambda s, d: _rounded(_related(s, d).scores, *scores), rel + "select source_story_id, target_story_id, round(weight, 6) as weight, round(source_align, 6) as source_align, round(self_consistency, 6) as self_consistency, evidence_count, last_time from edge_scores"),
-        "prn_pruned": (lambda s, d: _rounded(_related(s, d).pruned, "weight"), rel + "select * replace (round(weight, 6) as weight) from pruned"),
-        "prn_pruned_wide": (lambda s, d: _rounded(related.prune(_related(s, d).scores, _WIDE), "weight"), f"with {_related_sql(0.05, 2)} select * replace (round(weight, 6) as weight) from pruned"),
+        "sco_edge_scores": (lambda s, d: _rounded(_related(s, d).scores, *scores), rel + "select source_story_id, target_story_id, round(weight, 9) as weight, round(source_align, 9) as source_align, round(self_consistency, 9) as self_consistency, evidence_count, last_time from edge_scores"),
+        "prn_pruned": (lambda s, d: _rounded(_related(s, d).pruned, "weight"), rel + "select * replace (round(weight, 9) as weight) from pruned"),
+        "prn_pruned_wide": (lambda s, d: _rounded(related.prune(_related(s, d).scores, _WIDE), "weight"), f"with {_related_sql(0.05, 2)} select * replace (round(weight, 9) as weight) from pruned"),
         "cc_components": (lambda s, d: _related(s, d).parts, rel + "select * from parts"),
-        "relr_story_strength": (lambda s, d: _rounded(related.story_strength(_related(s, d).pruned), "rel_score"), rel + "select story_id, round(sum(weight), 6) as rel_score from (select source_story_id as story_id, weight from pruned union all select target_story_id, weight from pruned) group by all"),
+        "relr_story_strength": (lambda s, d: _rounded(related.story_strength(_related(s, d).pruned), "rel_score"), rel + "select story_id, round(sum(weight), 9) as rel_score from (select source_story_id as story_id, weight from pruned union all select target_story_id, weight from pruned) group by all"),
         "reli_incoming": (lambda s, d: related.incoming(_related(s, d).pruned), rel + "select * from incoming"),
         "relc_component_index": (lambda s, d: _related(s, d).index, rel + f"select {rel_cols} from component_index"),
-        "rnkl_legacy_rank": (lambda s, d: _rounded(related.component_index(_related(s, d).parts, _related(s, d).pruned, _related(s, d).profiles, _related(s, d).totals, related.Config(rank_model="legacy")), "rank_score").select("component_id", "rank_score"), rel + "select component_id, round(max_story_score * cast(0.7 as double) + latest_time * cast(0.000001 as double) * cast(0.3 as double) + member_count * 2 + edge_count * cast(0.5 as double), 6) as rank_score from component_index"),
-        "relm_members": (lambda s, d: _rounded(_related(s, d).members(), "rel_score"), rel + "select component_id, story_id, round((select coalesce(sum(weight), 0) from (select source_story_id as x, weight from pruned union all select target_story_id, weight from pruned) where x = story_id), 6) as rel_score, title, author, time, score, url from member"),
-        "rell_links": (lambda s, d: _rounded(_related(s, d).component_links(), "weight"), rel + "select source_story_id, target_story_id, round(weight, 6) as weight, evidence_count, last_time, component_id from pruned join parts on parts.story_id = source_story_id"),
+        "rnkl_legacy_rank": (lambda s, d: _rounded(related.component_index(_related(s, d).parts, _related(s, d).pruned, _related(s, d).profiles, _related(s, d).totals, related.Config(rank_model="legacy")), "rank_score").select("component_id", "rank_score"), rel + "select component_id, round(max_story_score * cast(0.7 as double) + latest_time * cast(0.000001 as double) * cast(0.3 as double) + member_count * 2 + edge_count * cast(0.5 as double), 9) as rank_score from component_index"),
+        "relm_members": (lambda s, d: _rounded(_related(s, d).members(), "rel_score"), rel + "select component_id, story_id, round((select coalesce(sum(weight), 0) from (select source_story_id as x, weight from pruned union all select target_story_id, weight from pruned) where x = story_id), 9) as rel_score, title, author, time, score, url from member"),
+        "rell_links": (lambda s, d: _rounded(_related(s, d).component_links(), "weight"), rel + "select source_story_id, target_story_id, round(weight, 9) as weight, evidence_count, last_time, component_id from pruned join parts on parts.story_id = source_story_id"),
         "snk12_ranked": (lambda s, d: _related(s, d).ranked().select("component_id", F.col("rank").cast("bigint").alias("rank"), "sid"), rel + "select component_id, row_number() over (order by rank_score desc, latest_time desc, component_id desc) as rank, 0 as sid from component_index"),
         "srt4_by_discussions": (lambda s, d: catalog.top(_related(s, d).index.select("component_id", "member_count", "rank_score"), [F.desc("member_count"), F.desc("rank_score"), "component_id"], 25), rel + "select component_id, member_count, rank_score from component_index order by member_count desc, rank_score desc, component_id limit 25"),
         "srt5_timeline": (lambda s, d: catalog.timeline(_related(s, d).members()), rel + "select component_id, story_id, cast(row_number() over (partition by component_id order by t // 86400, s desc, story_id) as integer) as n from member"),
