@@ -35,7 +35,8 @@ SAMPLE_ROWS = 16_000
 FOLDS, HELD_OUT = 5, 0
 #: A feature is kept if it is in so many toxic training texts and its log-odds are so many deviations above 0.
 MIN_TOXIC_DOCS, MIN_Z, MIN_LOG_ODDS = 3, 2.6, 1.2
-PRIOR_WEIGHT = 500.0
+#: Texts that the prior counts for: this share of the sampled texts, at most so many.
+PRIOR_SHARE, PRIOR_MOST = 0.05, 500.0
 DRIFT = -0.4
 MEMO = 200_000
 PREFIXES = (8, 7, 6, 5, 4)
@@ -194,9 +195,8 @@ def _corpus_counts(shared):
     return run
 
 
-def log_odds(y1, y0, n1, n0, prior):
-    """Log-odds ratio with a Dirichlet prior, and its z value."""
-    total = PRIOR_WEIGHT
+def log_odds(y1, y0, n1, n0, prior, total):
+    """Log-odds ratio with a Dirichlet prior of that total weight, and its z value."""
     a, b = y1 + prior, y0 + prior
     delta = math.log(a / max(n1 + total - a, 0.5)) - math.log(b / max(n0 + total - b, 0.5))
     return delta, delta / math.sqrt(1.0 / a + 1.0 / b)
@@ -254,9 +254,9 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int =
     shared = spark.sparkContext.broadcast(frozenset(candidates))
     corpus = {r.feature: r.n for r in docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_corpus_counts(shared), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}
     n_docs = max(1, corpus.get("", 1))
-    weights = {}
+    weights, prior = {}, min(PRIOR_MOST, PRIOR_SHARE * (n1 + n0))
     for feature, (y1, y0) in candidates.items():
-        delta, z = log_odds(y1, y0, n1, n0, max(0.05, PRIOR_WEIGHT * corpus.get(feature, 0) / n_docs))
+        delta, z = log_odds(y1, y0, n1, n0, max(0.05, prior * corpus.get(feature, 0) / n_docs), prior)
         if z >= MIN_Z and delta >= MIN_LOG_ODDS:
             weights[feature] = delta
     if not weights:
