@@ -39,14 +39,20 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 
 def _leaves(rows: DataFrame, low: int, high: int, limit: int) -> DataFrame:
-    """For each prefix of high bits of rows (cell): depth, bytes and rows of its leaf; depth high + 1 stands for a cell above the limit.
-    Prefixes of fewer than low bits are known to exceed the limit."""
+    """The directory over prefixes of high bits (cell): depth, bytes and rows of each cell's leaf; depth high + 1 stands for a cell above the limit.
+    Prefixes of fewer than low bits are known to exceed the limit.
+
+    A leaf is a prefix that fits, or the finest, whose parent doesn't fit: a join on unique keys. It is then spread over the cells below it."""
     cells = rows.groupBy(_prefix(high).alias("cell")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"), F.min("h").alias("h0"), F.max("h").alias("h1"))
-    nodes = cells.select("cell", "bytes", "n", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")).withColumn("node", F.expr(f"shiftright(cell, {high} - depth)"))
-    sums = nodes.groupBy("depth", "node").agg(F.sum("bytes").alias("node_bytes"), F.sum("n").alias("node_rows"))
-    per_cell = nodes.join(sums, ["depth", "node"]).groupBy("cell").agg((F.lit(low) + F.sum((F.col("node_bytes") > limit).cast("int"))).alias("leaf"), F.map_from_entries(F.collect_list(F.struct("depth", F.struct("node_bytes", "node_rows")))).alias("by_depth"))
-    at = F.element_at("by_depth", F.least(F.col("leaf"), F.lit(high)).cast("int"))
-    return per_cell.join(cells.select("cell", (F.col("h0") == F.col("h1")).alias("one_key")), "cell").select("cell", F.col("leaf").cast("int").alias("depth"), at["node_bytes"].alias("shard_bytes"), at["node_rows"].alias("shard_rows"), "one_key")
+    nodes = cells.select("bytes", "n", "h0", "h1", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth"), "cell").withColumn("node", F.expr(f"shiftright(cell, {high} - depth)"))
+    sums = materialize(nodes.groupBy("depth", "node").agg(F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows"), (F.min("h0") == F.max("h1")).alias("one_key")), "prefixes")
+    full = sums.where(F.col("shard_bytes") > limit).select((F.col("depth") + 1).alias("depth"), F.col("node").alias("parent"))
+    below = sums.where(F.col("depth") > low).withColumn("parent", F.expr("shiftright(node, 1)")).join(full, ["depth", "parent"]).drop("parent")
+    open_nodes = sums.where(F.col("depth") == low).unionByName(below)
+    leaves = open_nodes.where((F.col("shard_bytes") <= limit) | (F.col("depth") == high))
+    wide = F.expr(f"shiftleft(1L, {high} - depth)")
+    spread = leaves.withColumn("cell", F.explode(F.sequence(F.col("node") * wide, (F.col("node") + 1) * wide - 1)))
+    return spread.select("cell", F.when(F.col("shard_bytes") > limit, high + 1).otherwise(F.col("depth")).cast("int").alias("depth"), "shard_bytes", "shard_rows", "one_key")
 
 
 def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
