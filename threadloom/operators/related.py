@@ -37,8 +37,11 @@ class Config:
 
 def raw_links(items: DataFrame, config: Config = Config()) -> DataFrame:
     """One row per item and distinct item it links to, not itself."""
-    found = items.withColumn("target_item_id", F.explode(linked_items(F.col("text"), F.col("url"), config.max_links_per_item)))
-    return found.where("target_item_id <> id").select(F.col("id").alias("evidence_item_id"), F.col("id").alias("source_item_id"), F.col("time").alias("source_time"), F.col("score").alias("source_score"), has_related_keyword(F.col("text")).alias("has_keyword"), "target_item_id")
+    linking = items.where(F.contains("text", F.lit("item?id=")) | F.contains("url", F.lit("item?id=")))
+    # one evaluation of the patterns per item: an outer explode keeps the optimizer from repeating them in a filter
+    found = linking.select("id", "time", "score", has_related_keyword(F.col("text")).alias("has_keyword"), linked_items(F.col("text"), F.col("url"), config.max_links_per_item).alias("targets"))
+    pairs = found.select("id", "time", "score", "has_keyword", F.explode_outer("targets").alias("target_item_id")).where("target_item_id <> id")
+    return pairs.select(F.col("id").alias("evidence_item_id"), F.col("id").alias("source_item_id"), F.col("time").alias("source_time"), F.col("score").alias("source_score"), "has_keyword", "target_item_id")
 
 
 def resolved_links(links: DataFrame, stories: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from threadloom.functions.scalar import channel, domain, month_key, user_key
+from threadloom.operators.shard import small
 
 
 def _posts(items: DataFrame) -> DataFrame:
@@ -51,3 +52,9 @@ def user_shards(users: DataFrame, shards: int) -> DataFrame:
     """sid of each author by ranges of the key, and each range's bounds; ranges are found by sampled quantiles, so sizes are near the target, not exact."""
     ranked = users.repartitionByRange(shards, "user_key").withColumn("sid", F.spark_partition_id())
     return ranked.groupBy("sid").agg(F.min("user_key").alias("user_lo"), F.max("user_key").alias("user_hi"), F.count("*").alias("users"))
+
+
+def route_users(shards: DataFrame, names: DataFrame) -> DataFrame:
+    """(username, sid): the shard whose range of keys holds each name; ranges are disjoint."""
+    keyed = names.select("username", user_key(F.col("username")).alias("key"))
+    return keyed.join(small(shards.select("sid", "user_lo", "user_hi")), F.col("key").between(F.col("user_lo"), F.col("user_hi"))).select("username", "sid")
