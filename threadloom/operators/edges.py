@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from threadloom.functions.scalar import human_delta
+from threadloom.functions.text import flatten
 from threadloom.operators.shard import small
 
 
@@ -25,6 +27,16 @@ def cross_links(edge_rows: DataFrame, bounds: DataFrame) -> DataFrame:
     return outside.select("parent_id", F.col("sid").alias("shard_sid")).distinct()
 
 
+def skipped(edge_rows: DataFrame, bounds: DataFrame, items: DataFrame) -> DataFrame:
+    """Edges whose parent is in another shard than the child, with both shards, the seconds between them and the start of the child's text."""
+    ranges = small(bounds.select(F.col("sid").alias("parent_sid"), "id_lo", "id_hi"))
+    crossing = edge_rows.join(ranges, F.col("parent_id").between(F.col("id_lo"), F.col("id_hi"))).where("parent_sid <> sid")
+    parent = items.select(F.col("id").alias("parent_id"), F.col("time").alias("parent_time"))
+    child = items.select(F.col("id").alias("child_id"), F.col("time").alias("child_time"), flatten(F.col("text")).alias("text"))
+    both = crossing.join(parent, "parent_id").join(child, "child_id").withColumn("seconds", F.col("child_time") - F.col("parent_time"))
+    return both.select("parent_id", "child_id", "parent_sid", F.col("sid").alias("child_sid"), "seconds", human_delta(F.col("seconds")).alias("delta"), "text")
+
+
 def compressed_rows(cross: DataFrame) -> DataFrame:
     """parent_id, its sorted shards, and where they begin in the concatenation by parent. Offsets come from sums per range of parents, so no task sees all rows."""
     rows = cross.groupBy("parent_id").agg(F.sort_array(F.collect_set("shard_sid")).alias("sids")).withColumn("n", F.size("sids").cast("bigint")).withColumn("block", F.floor(F.col("parent_id") / 65536))

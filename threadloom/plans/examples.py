@@ -62,11 +62,18 @@ def udf4_table(spark, sf_dir: str) -> DataFrame:
     return spark.sql("select day, n, d.place, d.digit from {days}, lateral threadloom_digits(n) d", days=days)
 
 
+def udf5_collation(spark, sf_dir: str) -> DataFrame:
+    """Grouping under a collation that ignores case; Spark offers built-in ones only."""
+    named = items(spark, sf_dir).where("author is not null").select(F.collate("author", "UTF8_LCASE").alias("name"))
+    return named.groupBy("name").agg(F.count("*").alias("n")).select(F.lower(F.collate("name", "UTF8_BINARY")).alias("user_key"), "n")
+
+
 def entries(plain: str) -> dict:
     return {
         "udf1_scalar": (udf1_scalar, plain + "select id, cast(list_sum(list_transform(string_split(cast(id as varchar), ''), lambda x: cast(x as bigint))) as bigint) as digits from items"),
         "udf2_aggregate": (udf2_aggregate, plain + "select type, max(score) - min(score) as spread from items where score is not null group by type"),
         "udf3_window": (udf3_window, plain + "select id, cast(sum(score) over (partition by author order by id rows between 2 preceding and current row) as bigint) as last_three from items where score is not null and author is not null"),
         "udf4_table": (udf4_table, plain + ", days as (select time // 86400 as day, count(*) as n from items where time is not null group by 1) select day, n, cast(p as integer) as place, cast(substr(reverse(cast(n as varchar)), p + 1, 1) as integer) as digit from days, unnest(range(0, 12)) t(p) where p < length(cast(n as varchar))".replace("unnest(range(0, 12)) t(p)", "range(0, 12) t(p)")),
+        "udf5_collation": (udf5_collation, plain + "select lower(author) as user_key, count(*) as n from items where author is not null group by all"),
         "inc1_incremental_counts": (incremental.counts_by_type, "select event_type, count(*) as n, count(distinct user_id) as users from events group by event_type"),
     }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import scalar, text
 from threadloom.operators import ancestors, edges, related, shard, users
 from threadloom.plans import catalog, examples
+from threadloom.plans.api import Database
 from threadloom.scratch import materialize
 from threadloom.sources import adapter, ingest
 from threadloom.sources.adapter import ITEMS_SQL
@@ -53,6 +54,12 @@ def _users(spark, d):
     return users.user_stats(_items(spark, d))
 
 
+def _route_users(spark, d):
+    """Each author's shard, found again from the name: every name must come back once."""
+    u = _once(spark, d, "users", lambda: materialize(_users(spark, d).select("user_key", "username"), "users"))
+    return users.route_users(materialize(users.user_shards(u, 4), "user-shards"), u.select("username")).select("username")
+
+
 def _related(spark, d):
     return _once(spark, d, "related", lambda: related.Related(_items(spark, d)))
 
@@ -257,6 +264,9 @@ def _entries() -> dict:
         "joi2_route_ids": (lambda s, d: _sharded(s, d).select("id", "sid"), sh + "select id, sid from sharded"),
         "joi4_route_times": (lambda s, d: shard.route_times(m(s, d), 1704672000, 1705276800).select("sid"), sh + "select sid from manifest where tmin_eff <= 1705276800 and tmax_eff >= 1704672000"),
         "joi5_cross_links": (_cross, sh + "select * from crossing"),
+        "cli6_skipped_edges": (lambda s, d: edges.skipped(e(s, d), _bounds(s, d), i(s, d)).select("parent_id", "child_id", "parent_sid", "child_sid", "seconds"), sh + "select e.parent_id, e.child_id, b.sid as parent_sid, e.sid as child_sid, c.time - p.time as seconds from edges e join bounds b on e.parent_id between b.id_lo and b.id_hi and b.sid <> e.sid join items p on p.id = e.parent_id join items c on c.id = e.child_id"),
+        "joi3_route_users": (_route_users, us + "select username from users"),
+        "api1_bound_sql": (lambda s, d: Database(s, items=i(s, d)).query("select type, count(*) as n from {items} where score > :low group by type", {"low": 100}), plain + "select type, count(*) as n from items where score > 100 group by type"),
         "crs1_cross_counts": (lambda s, d: _cross(s, d).agg(F.count("*").alias("links"), F.countDistinct("parent_id").alias("parents")), sh + "select count(*) as links, count(distinct parent_id) as parents from crossing"),
         "crs2_compressed_rows": (lambda s, d: edges.compressed_rows(_cross(s, d)).select("parent_id", F.array_join("sids", ",").alias("sids"), "offset"), sh + "select parent_id, string_agg(shard_sid, ',' order by shard_sid) as sids, cast(sum(count(*)) over (order by parent_id) - count(*) as bigint) as offset from crossing group by parent_id"),
         "joi14_threads": (lambda s, d: edges.thread(e(s, d), _cross(s, d), _bounds(s, d), i(s, d).select(F.col("id").alias("parent_id"))), sh + "select parent_id, sid, ord, child_id from edges where parent_id in (select id from items)"),

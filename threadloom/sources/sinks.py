@@ -61,6 +61,13 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path).select(F.explode("shards").alias("s")).select("s.*")
 
 
+def with_file_sizes(shards: DataFrame, path: str) -> DataFrame:
+    """Adds each shard's bytes on disk and their share of the estimated raw bytes; only file listings are read."""
+    files = shards.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    sizes = files.groupBy(F.regexp_extract("path", r"/sid=(\d+)/", 1).cast("int").alias("sid")).agg(F.sum("length").alias("bytes"))
+    return shards.join(sizes, "sid", "left").withColumn("share", F.col("bytes") / F.col("raw_bytes_est"))
+
+
 def write_archive_index(sharded: DataFrame, path: str) -> dict:
     """Totals, and posts and comments of each shard."""
     per_shard = manifest(sharded)
