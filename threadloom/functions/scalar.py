@@ -40,6 +40,7 @@ def user_key(name: Column) -> Column:
 def channel(kind: Column, title: Column) -> Column:
     """jobs, ask, show, launch or story; null for anything that is neither a job nor a story."""
     head = F.coalesce(title, F.lit(""))
+    # The prefixes by which the forum marks its channels.
     return (
         F.when(kind == "job", "jobs")
         .when((kind != "story") | kind.isNull(), F.lit(None).cast("string"))
