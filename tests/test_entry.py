@@ -17,7 +17,9 @@ def rows(frame: pd.DataFrame) -> list:
     def value(x):
         if x is None or x is pd.NA or x is pd.NaT or x != x:
             return None
-        return round(float(x), 6) if isinstance(x, float) else x
+        if isinstance(x, float):  # a column of integers with nulls arrives as floats
+            return int(x) if x == int(x) else round(x, 6)
+        return int(x) if hasattr(x, "item") and float(x) == int(x) else x
 
     return sorted((tuple(map(value, r)) for r in frame[sorted(frame.columns)].itertuples(index=False)), key=repr)
 
