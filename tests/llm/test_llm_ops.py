@@ -264,6 +264,16 @@ def test_segments_are_the_maximal_ones():
         assert got == [(a, b, round(s, 6)) for a, b, s in brute(scores)], scores
 
 
+def test_every_toxic_passage_is_found():
+    scan = toxicity._scan({"weights": {"=vile": 3.0, "=awful": 2.5, "=mean": 2.0}, "lambda": 1.0, "k": 0.01})
+    plain = " word" * 30
+    found, x = scan("vile awful" + plain + " mean" + plain + " Vile, awful" + plain)
+    assert [f[:2] for f in found] == [(0, 1), (32, 32), (63, 64)]
+    assert [round(f[2], 9) for f in found] == [5.5, 2.0, 5.5] and x == pytest.approx(7.5)
+    dense = scan("vile awful mean" + plain * 2 + " mean mean vile awful vile mean")[0]
+    assert [f[:2] for f in dense] == [(0, 2), (63, 68)] and dense[1][2] == pytest.approx(14.5)
+
+
 def test_quality_learns(spark):
     d, labels = labelled(spark, lambda plain: plain[:10] + [w.upper() + "!!" for w in plain[10:]], "bad")
     labels = labels.select("doc_id", (1 - F.col("bad")).alias("quality"))

@@ -8,8 +8,11 @@
 3. Every maximal scoring segment of a text is found in one linear scan (Ruzzo and Tompa 1999).
 4. A segment of score S in a text of n tokens is expected K n exp(-lambda S) times by chance. lambda is
    solved from the token scores of clean training texts and K is fitted to their best segments (extreme
-   values). A text's evidence is the sum of lambda S - log(K n) over its significant segments, mapped to a
-   probability by a logistic fit on the training sample.
+   values). A text's evidence is the sum of lambda S - log(K n) over its significant segments, of those with
+   the same scoring words the best only, mapped to a probability by a logistic fit on the training sample.
+
+Every occurrence of a word scores in the scan, so a passage is found wherever it stands and however often; repeats are
+damped in the evidence alone, else one passage repeated through a long text would outweigh many different ones.
 
 Labels are learned only from rows whose crc32(doc_id) mod 5 is not 0; at most ``SAMPLE_ROWS`` of
 them, those of the smallest hashes (a documented bound on the fit; corpus counts and scoring cover all rows).
@@ -96,31 +99,31 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, hi - lo) for a, b, lo, hi, _ in stack]
 
 
-def token_scores(memo: TokenScores, text: str | None) -> np.ndarray:
-    """Scores of a text's words; a word that scores counts where it first stands, repeats only drift."""
-    words = (text or "").split()
-    scores = np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
-    seen = set()
-    for i in np.flatnonzero(scores > 0).tolist():
-        word = words[i].strip(STRIP).lower()
-        if word in seen:
-            scores[i] = DRIFT
-        seen.add(word)
-    return scores
+def token_scores(memo: TokenScores, words: list[str]) -> np.ndarray:
+    """Scores of a text's words, every occurrence alike."""
+    return np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
 
 
-def evidence(found: list[tuple[int, int, float]], n: int, lam: float, k: float) -> float:
-    """Sum over significant segments of how far they exceed what chance gives in n tokens."""
-    return sum(x for x in (lam * s - math.log(max(k * n, 1.0)) for _, _, s in found) if x > 0)
+def evidence(found: list[tuple[int, int, float]], words: list[str], scores: np.ndarray, lam: float, k: float) -> float:
+    """Sum over significant segments of how far they exceed what chance gives in so many words; segments whose sets of scoring
+    words are equal count once, by the best."""
+    least, best = math.log(max(k * len(words), 1.0)), {}
+    for a, b, s in found:
+        x = lam * s - least
+        if x > 0:
+            own = frozenset(words[a + i].strip(STRIP).lower() for i in np.flatnonzero(scores[a : b + 1] > 0).tolist())
+            best[own] = max(best.get(own, 0.0), x)
+    return math.fsum(best.values())
 
 
 def _scan(model: dict):
     memo = TokenScores(model["weights"])
 
-    def scan(text: str):
-        scores = token_scores(memo, text)
+    def scan(text: str | None):
+        words = (text or "").split()
+        scores = token_scores(memo, words)
         found = segments(scores)
-        return found, evidence(found, len(scores), model["lambda"], model["k"])
+        return found, evidence(found, words, scores, model["lambda"], model["k"])
 
     return scan
 
@@ -286,7 +289,7 @@ def _rows_of(sample: DataFrame, model: dict) -> list[tuple]:
         for batch in batches:
             out = []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                scores = token_scores(memo, text)
+                scores = token_scores(memo, (text or "").split())
                 out.append((label, len(scores), max((s for _, _, s in segments(scores)), default=0.0), int((scores > 0).sum())))
             yield pa.RecordBatch.from_pylist([dict(zip("lwbh", r, strict=True)) for r in out], schema=pa.schema([("l", pa.int32()), ("w", pa.int64()), ("b", pa.float64()), ("h", pa.int64())]))
 
