@@ -274,6 +274,14 @@ def test_every_toxic_passage_is_found():
     assert [f[:2] for f in dense] == [(0, 2), (63, 68)] and dense[1][2] == pytest.approx(14.5)
 
 
+def test_features_of_a_rare_label(spark):
+    texts = ["vile " * (i % 2) + f"toxic{i}" if i < 8 else "vile plain" if i < 14 else f"plain{i}" for i in range(800)]
+    labels = spark.createDataFrame([(i, int(i < 8)) for i in range(800)], "doc_id long, toxic int")
+    model = toxicity.fit(docs(spark, texts), labels, folds=1, held_out=1)
+    assert model["weights"]["=vile"] >= toxicity.MIN_LOG_ODDS  # in 4 of 8 toxic and 6 of 792 clean texts
+    assert "=plain" not in model["weights"]
+
+
 def test_quality_learns(spark):
     d, labels = labelled(spark, lambda plain: plain[:10] + [w.upper() + "!!" for w in plain[10:]], "bad")
     labels = labels.select("doc_id", (1 - F.col("bad")).alias("quality"))

@@ -36,7 +36,8 @@ from threadloom.llm.common import materialize, table
 
 SAMPLE_ROWS = 16_000
 FOLDS, HELD_OUT = 5, 0
-#: A feature is kept if it is in so many toxic training texts and its log-odds are so many deviations above 0.
+#: A feature is kept if it is in so many toxic training texts, in a larger share of the toxic than of the clean ones (so that the rule
+#: doesn't depend on how many there are of each), and its log-odds are so large and so many deviations above 0.
 MIN_TOXIC_DOCS, MIN_Z, MIN_LOG_ODDS = 3, 2.6, 1.2
 #: Texts that the prior counts for: this share of the sampled texts, at most so many.
 PRIOR_SHARE, PRIOR_MOST = 0.05, 500.0
@@ -156,7 +157,7 @@ def _score(shared):
 
 
 def _count_features(batches):
-    """Per task: in how many toxic and clean texts each feature is, and the number of tokens."""
+    """Per task: in how many toxic and clean texts each feature is."""
     counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -164,7 +165,6 @@ def _count_features(batches):
             for word in set((text or "").split()):
                 seen.update(features(word))
             counts[label].update(seen)
-            counts[label][""] += 1
     yield from _counter_batches(counts)
 
 
@@ -248,12 +248,13 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int =
     spark = docs.sparkSession
     none = {"weights": {}, "lambda": 1.0, "k": 1.0, "a": -40.0, "b": 1e-3}
     sample = materialize(training_sample(docs, labels, "toxic", folds, held_out, sample_rows), "toxicity-sample")
-    counted = sample.mapInArrow(_count_features, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    rows = counted.where((F.col("feature") == "") | ((F.col("toxic") >= MIN_TOXIC_DOCS) & (F.col("toxic") > F.col("clean")))).collect()
-    n1, n0 = next(((r.toxic, r.clean) for r in rows if r.feature == ""), (0, 0))
+    sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
         return none
-    candidates = {r.feature: (r.toxic, r.clean) for r in rows if r.feature}
+    counted = sample.mapInArrow(_count_features, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    rows = counted.where((F.col("toxic") >= MIN_TOXIC_DOCS) & (F.col("toxic") * n0 > F.col("clean") * n1)).collect()
+    candidates = {r.feature: (r.toxic, r.clean) for r in rows}
     shared = spark.sparkContext.broadcast(frozenset(candidates))
     corpus = {r.feature: r.n for r in docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_corpus_counts(shared), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}
     n_docs = max(1, corpus.get("", 1))
