@@ -165,6 +165,15 @@ def test_shards_fit(spark):
 
 
 # 5
+def test_written_shards_hold_every_row(spark, tmp_path):
+    rows = [(i, "z" * random.Random(i).randint(0, 900), "en", "s", i) for i in range(200)]
+    rows += [(None, "no id " + str(i), "de", "s", i) for i in range(3)] + [(7, "same", "fr", "s", 0)] * 3 + [(7, None, "fr", "s", 1), (None, None, None, None, None), (8, "big" * 4000, "en", "s", 0)]
+    sharding.write_shards(spark.createDataFrame(rows, DOC), str(tmp_path / "out"), 5000)
+    written = {f.name: [tuple(r) for r in spark.read.parquet(str(f)).select("doc_id", "text", "lang", "source", "n_chars").collect()] for f in (tmp_path / "out").glob("shard=*")}
+    assert sorted((r for part in written.values() for r in part), key=repr) == sorted(rows, key=repr)
+    assert len(written) > 10 and sum(sum(len(r[1] or "") for r in part) > 5000 for part in written.values()) == 1
+
+
 def test_warc_round_trip(spark, tmp_path):
     body = "<p>é</p>\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n" + "x" * 100
     rows = [(3, "http://a", body), (1, "http://b\r\nX: y", body), (2, None, body), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", ""), (None, "u", body), (8, "u", "y" * 99), (9, "u", "y" * 99), (1, "http://b", body)]

@@ -8,7 +8,7 @@ round goes on with further bits for the rows of those prefixes only.
 
 Defined cases: null texts have no bytes; rows without doc_id hash as an empty id; rows equal in doc_id and text can't be told apart by
 any bit: they share a shard, which is marked ``oversized`` if they exceed the limit; so is a single row above the limit; an empty
-table gives no rows; further columns are ignored.
+table gives no rows; further columns are ignored by the assignment and written with the shards.
 """
 
 from __future__ import annotations
@@ -32,10 +32,11 @@ def _prefix(bits) -> F.Column:
     return F.expr(f"shiftright(h, {BITS} - {bits})")
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
+def _hashed(docs: DataFrame, whole: bool) -> DataFrame:
+    """doc_id, h and bytes of each row; with whole, all its columns as the struct row too."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("#"), F.md5(text.cast("binary")))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long").alias("h"), F.octet_length(text).cast("long").alias("bytes"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long").alias("h"), F.octet_length(text).cast("long").alias("bytes"), *([F.struct(*(docs[c] for c in docs.columns)).alias("row")] if whole else []))
 
 
 def _leaves(rows: DataFrame, low: int, high: int, limit: int) -> DataFrame:
@@ -55,9 +56,10 @@ def _leaves(rows: DataFrame, low: int, high: int, limit: int) -> DataFrame:
     return spread.select("cell", F.when(F.col("shard_bytes") > limit, high + 1).otherwise(F.col("depth")).cast("int").alias("depth"), "shard_bytes", "shard_rows", "one_key")
 
 
-def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, shard (its hash prefix as bits), depth, shard_bytes, shard_rows and oversized of each row."""
-    rows, done, low = _hashed(docs), [], 0
+def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, whole: bool = False) -> DataFrame:
+    """doc_id, shard (its hash prefix as bits), depth, shard_bytes, shard_rows and oversized of each row; with whole, the row too."""
+    rows, done, low = _hashed(docs, whole), [], 0
+    kept = ["row"] if whole else []
     while True:
         total = rows.agg(F.sum("bytes")).first()[0] or 0
         high = min(BITS, low + min(MAX_ROUND_BITS, max(1, math.ceil(math.log2(max(2.0, total / limit)))) + SPARE_BITS))
@@ -66,11 +68,11 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
         last = high >= BITS
         full = F.col("depth") > high
         final = placed if last else placed.where(~full | F.col("one_key"))
-        done.append(final.select("doc_id", F.when(F.least(F.col("depth"), F.lit(high)) == 0, F.lit("")).otherwise(F.expr(f"substring(lpad(bin(h), {BITS}, '0'), 1, least(depth, {high}))")).alias("shard"), F.least("depth", F.lit(high)).cast("int").alias("depth"), "shard_bytes", "shard_rows", (F.col("shard_bytes") > limit).alias("oversized")))
+        done.append(final.select("doc_id", F.when(F.least(F.col("depth"), F.lit(high)) == 0, F.lit("")).otherwise(F.expr(f"substring(lpad(bin(h), {BITS}, '0'), 1, least(depth, {high}))")).alias("shard"), F.least("depth", F.lit(high)).cast("int").alias("depth"), "shard_bytes", "shard_rows", (F.col("shard_bytes") > limit).alias("oversized"), *kept))
         more = leaves.where(full & ~F.col("one_key"))
         if last or more.isEmpty():
             break
-        rows, low = placed.where(full & ~F.col("one_key")).select("doc_id", "h", "bytes"), high + 1
+        rows, low = placed.where(full & ~F.col("one_key")).select("doc_id", "h", "bytes", *kept), high + 1
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
@@ -78,10 +80,10 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
-    """Writes docs (whose doc_id is unique) below path, one folder a shard."""
+    """Writes every row of docs, with all columns, below path, one folder a shard."""
     if "shard" in docs.columns:
         raise ValueError("docs already has a column named shard")
-    docs.join(assign_shards(docs, limit).select("doc_id", "shard"), "doc_id").repartition("shard").write.partitionBy("shard").parquet(path)
+    assign_shards(docs, limit, whole=True).select("row.*", "shard").repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def op4_sharding(spark, sf_dir: str) -> DataFrame:
