@@ -1,7 +1,8 @@
 """Corpus cleaning pipeline over ``documents``: five stages, each applied to all that the one before kept.
 
 1. quality: documents that the classifier rejects go.
-2. near_dedup: one document of each group of near duplicates stays (5-word shingles, Jaccard of 0.8 or more).
+2. near_dedup: one document of each group of near duplicates stays (5-word shingles, Jaccard of 0.8 or more); rows that share
+   a doc_id are documents of their own.
 3. substring_dedup: words of 20-word passages that start earlier go from the texts.
 4. decontaminate: documents that hold a benchmark item's question and answer go.
 5. encode: the kept texts as byte-level BPE ids, verified by decoding.
@@ -31,6 +32,9 @@ def filter_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
+    if minhash.ids_repeat(docs):
+        named = minhash.named_rows(docs)
+        return named.join(materialize(minhash.dropped_rows(named, shingle_words=5), "near-duplicates"), minhash.ROW, "left_anti").select(docs.columns)
     dropped = materialize(minhash.near_duplicates(docs.select("doc_id", "text"), shingle_words=5).where("not kept").select("doc_id"), "near-duplicates")
     return _without(docs, dropped)
 

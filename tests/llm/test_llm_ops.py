@@ -80,6 +80,19 @@ def test_minhash_odd_rows(spark):
     assert minhash.near_duplicates(odd(spark).where("false"), 5).count() == 0
 
 
+def test_minhash_repeated_ids(spark):
+    def text(name, last=""):
+        return " ".join(f"{name}{i}" for i in range(40)) + last
+
+    rows = [(1, text("a")), (2, text("b")), (5, text("a", " end")), (5, text("c")), (6, text("c", " end")), (7, text("d")), (7, text("d")), (7, ""), (7, text("b")), (9, text("c")), (8, text("e")), (8, text("f")), (None, text("a"))]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOC)
+    out = minhash.near_duplicates(table, 2).collect()
+    want = {1: 1, 2: 2, 5: 1, 6: 1, 7: 2, 8: 8, 9: 1, None: None}  # 5 joins a and c, 7 joins b and d
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in out) == sorted((i or 0, want[i] or 0) for i, _ in rows)
+    assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in out)
+    assert sorted(r.n_shingles for r in out) == sorted(40 if t.endswith("end") else 39 if t else 0 for _, t in rows)
+
+
 def test_circulant_signature_estimates_jaccard():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)

@@ -43,6 +43,17 @@ def test_planted_cases(spark, tmp_path):
         assert stage(spark, docs.where("false"), DATA).count() == 0
 
 
+def test_near_dedup_decides_by_row(spark):
+    def text(name, last=""):
+        return " ".join(f"{name}{i}" for i in range(40)) + last
+
+    rows = [(1, text("a")), (5, text("a", " end")), (5, text("c")), (7, text("d")), (7, text("d")), (7, None), (None, text("a")), (None, text("a"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.dedup_near(spark, docs, DATA)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted([rows[0], rows[2], rows[3], *rows[5:]], key=repr)
+
+
 @pytest.mark.skipif(not os.path.exists(DATA), reason="needs the test tables")
 def test_run(spark):
     assert 0 < corpus_pipeline.run(spark, DATA).count() <= spark.read.parquet(f"{DATA}/documents.parquet").count()

@@ -18,6 +18,9 @@ in fewer than ``LEAST`` of the coordinates aren't verified (2e-6 at 0.8).
 Defined cases: null and empty texts have no shingle, are components of their own and are kept; texts with fewer words than a
 shingle are one shingle; rows of one doc_id are judged by their own text, and a link of one of them
 links the id; further columns are ignored; an empty table gives no rows.
+
+Classes are named by their smallest doc_id, so where ids repeat rows get names of their own first: components of rows come from
+those, and components of ids from joining the components that rows of one id are in.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
 #: Largest vocabulary of a block that bit sets are used for.
 BITSET_WORDS = 1 << 16
 _CHUNK = 512
+#: Column with the name of a row.
+ROW = "near_duplicates_row"
 
 SIGNED = "doc_id long, n_shingles long, set_hi long, set_lo long, signature binary"
 _SIGNED_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hi", pa.int64()), ("set_lo", pa.int64()), ("signature", pa.binary())])
@@ -251,9 +256,41 @@ class NearDuplicates:
         return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
+def ids_repeat(docs: DataFrame) -> bool:
+    return not docs.where("doc_id is not null").groupBy(F.col("doc_id").cast("long")).count().where("count > 1").isEmpty()
+
+
+def named_rows(docs: DataFrame) -> DataFrame:
+    """docs with the column ROW, unique and fixed by being written; null without doc_id."""
+    return materialize(docs.withColumn(ROW, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "named-rows")
+
+
+def row_components(named: DataFrame, shingle_words: int = 5, share: int = 80, lower: bool = True) -> DataFrame:
+    """ROW, doc_id, n_shingles, part and class of each row of named_rows; rows of one part are near duplicates, of one class equal sets."""
+    found = NearDuplicates(named.select(F.col(ROW).alias("doc_id"), "text"), shingle_words, share, lower).result()
+    ids = named.where(F.col(ROW).isNotNull()).select(ROW, F.col("doc_id").cast("long").alias("doc_id"))
+    return materialize(found.select(F.col("doc_id").alias(ROW), "n_shingles", F.col("component_id").alias("part"), F.col("class_id").alias("class")).join(ids, ROW, "left"), "row-components")
+
+
+def dropped_rows(named: DataFrame, shingle_words: int = 5, share: int = 80, lower: bool = True) -> DataFrame:
+    """ROW of the rows of named_rows but for one of each component of rows: that of the smallest doc_id."""
+    rows = row_components(named, shingle_words, share, lower).where(F.col(ROW).isNotNull())
+    first = rows.groupBy("part").agg(F.min(F.struct("doc_id", ROW))[ROW].alias("first"))
+    return rows.join(first, "part").where(F.col(ROW) != F.col("first")).select(ROW)
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, share: int = 80, lower: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and class_id of each row; share: the Jaccard threshold in percent."""
-    return NearDuplicates(docs, shingle_words, share, lower).result()
+    prepare(docs.sparkSession)
+    if not ids_repeat(docs):
+        return NearDuplicates(docs, shingle_words, share, lower).result()
+    rows = row_components(named_rows(docs.select("doc_id", "text")), shingle_words, share, lower)
+    leaders = materialize(rows.where("doc_id is not null").groupBy("part").agg(F.min("doc_id").alias("leader")), "leaders")
+    classes = rows.where("doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    edges = rows.join(leaders, "part").where("doc_id <> leader").select(F.col("doc_id").alias("u"), F.col("leader").alias("v")).distinct()
+    parts = connected_components(edges).withColumnRenamed("node", "doc_id")
+    component = F.coalesce("component", "doc_id")
+    return rows.join(parts, "doc_id", "left").join(classes, "class", "left").select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "class_id")
 
 
 def op1_minhash_dedup(spark, sf_dir: str) -> DataFrame:
