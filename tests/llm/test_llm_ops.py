@@ -162,6 +162,20 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id) for r in found) == [(0, 7), (1, 2)]
 
 
+def test_blocks_score_as_one_index(spark, monkeypatch):
+    random.seed(12)
+    items = [(i, " ".join(random.choice([f"v{int(random.expovariate(0.05))}", f"i{i}w{j}"]) for j in range(random.randint(20, 90))) + ". yes it is.") for i in range(30)] + [(99, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [" ".join(t.split()[:-4][: len(t.split()) - 6] + ["x"] + t.split()[-5:]) for _, t in items[:30]]
+
+    def found():
+        return sorted((r.doc_id, r.item_id, round(r.score, 9)) for r in decontaminate.contaminated(docs(spark, texts), benchmark).collect())
+
+    whole = found()
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 4000)
+    assert len(whole) >= 20 and found() == whole
+
+
 # 4
 def test_shards_fit(spark):
     texts = ["z" * random.Random(i).randint(0, 900) for i in range(400)] + ["big" * 4000]

@@ -14,7 +14,8 @@ Verification, on the whole text: the item is split into question and answer (its
 ``OVERLAP`` of their 5-word shingles in the text.
 
 The benchmark's size is checked: beyond ``BLOCK_BYTES`` it is dealt into blocks by hash of item_id, each
-with an index of its own, and every passage queries them all.
+with an index of its own, and every passage queries them all. The number of segments, their mean length and the number of
+segments of each term are counted over all items, so weights and scores are those of one index.
 
 Terms are words in lower case without punctuation at their ends. Defined cases: null and empty texts and items without a term match
 nothing; items of one sentence, and items whose last sentence is all they have, are question and answer at once; repeated
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import table
+from threadloom.llm.common import materialize, prepare, table
 
 K1, B = 1.2, 0.75
 SEGMENT_WORDS, PASSAGE_WORDS = 64, 128
@@ -68,31 +69,38 @@ def question_answer(text: str | None) -> tuple[list[str], list[str]]:
     return question or answer, answer
 
 
+def segments_of(text: str | None) -> list[Counter]:
+    """The terms of each segment of an item."""
+    terms = terms_of(text)
+    return [Counter(terms[at : at + SEGMENT_WORDS]) for at in range(0, len(terms), SEGMENT_WORDS)]
+
+
 class Index:
-    """Postings of segments, with block maxima; everything numbered from 0."""
+    """Postings of segments, with block maxima; everything numbered from 0.
+
+    counts: the number of segments, their words and the number of segments of each term, if items are a part of the benchmark."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], counts: tuple[int, int, dict[str, int]] | None = None) -> None:
         self.items = [(i, *question_answer(text)) for i, text in items]
         segments: list[tuple[int, Counter]] = []
         for number, (_, text) in enumerate(items):
-            terms = terms_of(text)
-            for at in range(0, len(terms), SEGMENT_WORDS):
-                segments.append((number, Counter(terms[at : at + SEGMENT_WORDS])))
+            segments += [(number, c) for c in segments_of(text)]
         self.item_of = [s[0] for s in segments]
         self.term: dict[str, int] = {}
         df: Counter = Counter()
-        for _, counts in segments:
-            df.update(counts.keys())
+        for _, c in segments:
+            df.update(c.keys())
         for t in sorted(df, key=lambda t: (-df[t], t)):  # the commonest terms have the smallest numbers
             self.term[t] = len(self.term)
         n = len(segments)
-        mean = sum(sum(c.values()) for _, c in segments) / max(1, n)
+        all_n, all_words, all_df = counts or (n, sum(sum(c.values()) for _, c in segments), df)
+        mean = all_words / max(1, all_n)
         postings: list[list[tuple[int, float]]] = [[] for _ in self.term]
         self.common = np.zeros(n)  # non-essential mass of each segment
         impacts = []
-        for _, counts in segments:
-            size = sum(counts.values())
-            w = {self.term[t]: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * size / mean)) for t, c in counts.items()}
+        for _, terms in segments:
+            size = sum(terms.values())
+            w = {self.term[t]: math.log(1 + (all_n - all_df[t] + 0.5) / (all_df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * size / mean)) for t, c in terms.items()}
             total = sum(w.values())
             impacts.append({t: v / total for t, v in w.items()})
             for t, v in impacts[-1].items():
@@ -210,10 +218,10 @@ _INDEXES: dict = {}
 
 def _index(shared) -> tuple[Index, _TermIds]:
     """This worker's index of a broadcast block of items."""
-    key, items = shared.value
+    key, items, counts = shared.value
     if key not in _INDEXES:
         _INDEXES.clear()
-        index = Index(items)
+        index = Index(items, counts)
         _INDEXES[key] = (index, _TermIds(index))
     return _INDEXES[key]
 
@@ -277,15 +285,40 @@ def _keep(shared):
     return run
 
 
+def _count_terms(batches):
+    """Per batch of items: block, term and in how many segments it is; under the empty term their number and words."""
+    for batch in batches:
+        found: dict[int, Counter] = {}
+        segments, n_words = Counter(), Counter()
+        for block, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for terms in segments_of(text):
+                found.setdefault(block, Counter()).update(terms.keys())
+                segments[block] += 1
+                n_words[block] += sum(terms.values())
+        rows = [(block, t, n, 0) for block, df in found.items() for t, n in df.items()] + [(block, "", n, n_words[block]) for block, n in segments.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.int64(), pa.int64()))], names=["block", "term", "n", "words"])
+
+
 def _blocks(spark, benchmark: DataFrame):
-    """The items, broadcast in blocks of a checked size."""
+    """The items, broadcast in blocks of a checked size, each with the counts over all items of the block's terms."""
+    prepare(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = max(1, math.ceil(2 * size / BLOCK_BYTES)) if size > BLOCK_BYTES else 1
     run = uuid.uuid4().hex
+    place = F.pmod(F.xxhash64("item_id"), F.lit(n))
+    if n > 1:
+        by_block = materialize(items.select(place.alias("block"), "text").mapInArrow(_count_terms, "block long, term string, n long, words long").groupBy("block", "term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "block-terms")
+        over_all = materialize(by_block.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "terms")
+        total = over_all.where("term = ''").first()
     for block in range(n):
-        part = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == block).collect())
-        yield spark.sparkContext.broadcast(((run, block), part))
+        part = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in items.where(place == block).collect())
+        counts = None
+        if n > 1 and total:
+            # no more terms than the block's bytes hold
+            own = over_all.join(by_block.where(F.col("block") == block).select("term"), "term", "left_semi").where("term <> ''")
+            counts = (total.n, total.words, {r.term: r.n for r in own.select("term", "n").collect()})
+        yield spark.sparkContext.broadcast(((run, block), part, counts))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
