@@ -8,9 +8,10 @@ Plan: (1) one pass makes each text's set size, a 128-bit hash of its set and its
 (2) texts with equal sets are one class, so copies never meet again; (3) signatures of classes are cut
 into bands; a band value that several classes share is a bucket; (4) every class proposes a link to the
 leader (smallest class) it shares most buckets with, which is verified on the full sets, and verified links are contracted; (5) only buckets that still hold several
-components are searched further, in blocks of bounded size: cross-component pairs that may reach the threshold are verified there on the
-full sets, likeliest first, and only links that join components leave the block. Pairs within a component are never
-compared, a pair is looked at in the first bucket it shares, and no bucket is capped.
+components are searched further, in blocks of bounded size: first by signatures alone, which leaves the classes that have a possible link to
+another component, then their full sets are made and sent to the blocks that need them, possible links are verified there, likeliest first, and
+only links that join components leave the block. Pairs within a component are never compared, a pair is looked at in the first bucket it
+shares, and no bucket is capped.
 
 A pair at the threshold shares no band with probability (1 - s^ROWS)^BANDS (2e-6 at 0.8), and pairs whose signatures agree
 in fewer than ``LEAST`` of the coordinates aren't verified (2e-6 at 0.8).
@@ -19,7 +20,7 @@ Defined cases: null and empty texts have no shingle, are components of their own
 shingle are one shingle; rows of one doc_id are judged by their own text, and a link of one of them
 links the id; further columns are ignored; an empty table gives no rows.
 
-Classes are named by their smallest doc_id, so where ids repeat rows get names of their own first: components of rows come from
+Classes are named by their smallest doc_id (NearDuplicates takes unique ids), so where ids repeat rows get names of their own first: components of rows come from
 those, and components of ids from joining the components that rows of one id are in.
 """
 
@@ -44,6 +45,8 @@ BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
 #: Largest vocabulary of a block that bit sets are used for.
 BITSET_WORDS = 1 << 16
 _CHUNK = 512
+BLOCK_COLUMNS = ["band", "bucket", "i", "j", "side", "rep", "comp", "n"]
+POSSIBLE = "band int, bucket long, i int, j int, side int, rep long, comp long, n long"
 #: Column with the name of a row.
 ROW = "near_duplicates_row"
 
@@ -130,20 +133,36 @@ class _Sets:
         return len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
 
 
+def _sides(group):
+    """A block's classes, the two sides that are compared (row numbers in column at), and whether they are one and the same."""
+    data = {"rep": group.column("rep").to_numpy(), "comp": group.column("comp").to_numpy(), "n": group.column("n").to_numpy(), "sig": np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, K)}
+    side = group.column("side").to_numpy()
+    x, y = ({k: v[side == s] for k, v in (data | {"at": np.arange(len(side))}).items()} for s in (0, 1))
+    same = not len(y["rep"])
+    return data, x, x if same else y, same
+
+
+def _possible(share: int):
+    """The classes of a block that have a possible link, by signatures alone. A block is a bucket's classes, or a pair of parts of a large
+    bucket: rows of side 0 against those of side 1."""
+
+    def run(key, group):
+        _, x, y, same = _sides(group)
+        hit = np.zeros(group.num_rows, bool)
+        for _, i, j in _candidates(x, y, same, key[0].as_py(), share):
+            hit[x["at"][i]] = hit[y["at"][j]] = True
+        return group.select(BLOCK_COLUMNS).filter(pa.array(hit))
+
+    return run
+
+
 def _blocks(share: int):
     """Verified links between different components of a block, as many as join them: likeliest pairs first, none between classes that
-    are joined by then. A block is a bucket's classes, or a pair of parts of a large bucket: rows of side 0 against those of side 1."""
+    are joined by then."""
 
     def run(key, group):
-        band = key[0].as_py()
-        names = group.column("rep").to_numpy()
-        data = {"rep": names, "comp": group.column("comp").to_numpy(), "n": group.column("n").to_numpy(), "sig": np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, K)}
-        place = np.arange(len(names))
-        side = group.column("side").to_numpy()
-        x, y = ({k: v[side == s] for k, v in (data | {"at": place}).items()} for s in (0, 1))
-        same = not len(y["rep"])
-        y = x if same else y
-        found = sorted(((-e, int(x["at"][i]), int(y["at"][j])) for e, i, j in _candidates(x, y, same, band, share)))
+        data, x, y, same = _sides(group)
+        found = sorted((-e, int(x["at"][i]), int(y["at"][j])) for e, i, j in _candidates(x, y, same, key[0].as_py(), share))
         links = []
         if found:
             sets = _Sets([np.frombuffer(v, np.uint64) for v in group.column("hashes").to_pylist()])
@@ -154,14 +173,14 @@ def _blocks(share: int):
                     c = parent[c]
                 return c
 
-            comp, sizes = data["comp"].tolist(), data["n"].tolist()
+            names, comp, sizes = data["rep"].tolist(), data["comp"].tolist(), data["n"].tolist()
             for _, i, j in found:
                 a, b = root(comp[i]), root(comp[j])
                 if a != b:
                     common = sets.common(i, j)
                     if 100 * common >= share * (sizes[i] + sizes[j] - common):
                         parent[max(a, b)] = min(a, b)
-                        links.append((int(names[i]), int(names[j])))
+                        links.append((names[i], names[j]))
         return pa.table({"a": pa.array([v[0] for v in links], pa.int64()), "b": pa.array([v[1] for v in links], pa.int64())})
 
     return run
@@ -228,25 +247,26 @@ class NearDuplicates:
 
     def _cross_links(self, members: DataFrame) -> DataFrame:
         """Links between components that meet in a bucket."""
-        ids = materialize(members.select(F.col("rep").alias("doc_id")).distinct(), "mixed-ids")
         k, lower = self.shingle_words, self.lower
 
         def sets(batches):
             for batch in batches:
                 made = [words.shingles(words.hashes(words.split(t.as_py(), lower)), k) for t in batch.column(1)]
-                digests = [int.from_bytes(xxhash.xxh3_128_digest(s.tobytes())[:8], "big", signed=True) for s in made]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], names=["rep", "set_hi", "hashes"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in made], pa.binary())], names=["rep", "hashes"])
 
-        rows = self.docs.join(broadcast_if_small(ids, 16), "doc_id", "left_semi").mapInArrow(sets, "rep long, set_hi long, hashes binary")
-        full = materialize(rows.join(self.classes.select("rep", "set_hi", "signature"), ["rep", "set_hi"]).select("rep", "signature", "hashes").dropDuplicates(["rep"]), "mixed-sets")
         blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
         dealt = (
             members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("band", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "comp", "n")
-            .join(full, "rep")
         )
-        return materialize(dealt.groupBy("band", "bucket", "i", "j").applyInArrow(_blocks(self.share), "a long, b long"), "cross-links")
+        signatures = self.classes.select("rep", "signature")
+        block = ["band", "bucket", "i", "j"]
+        possible = materialize(dealt.join(signatures, "rep").groupBy(block).applyInArrow(_possible(self.share), POSSIBLE), "possible")
+        ids = materialize(possible.select(F.col("rep").alias("doc_id")).distinct(), "possible-ids")
+        full = self.docs.join(broadcast_if_small(ids, 16), "doc_id", "left_semi").mapInArrow(sets, "rep long, hashes binary")
+        full = materialize(full.join(signatures, "rep"), "possible-sets")
+        return materialize(possible.join(full, "rep").groupBy(block).applyInArrow(_blocks(self.share), "a long, b long"), "cross-links")
 
     def result(self) -> DataFrame:
         parts = connected_components(self.links().select(F.col("a").alias("u"), F.col("b").alias("v")))
