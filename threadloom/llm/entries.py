@@ -23,6 +23,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": minhash.OP1_SQL,
+        "op2_fingerprints": fingerprint.OP2_SQL,
         "op4_sharding": sharding.OP4_SQL,
         "op5_warc": warc.OP5_SQL,
         "op8_substring_dedup": substring.OP8_SQL,
