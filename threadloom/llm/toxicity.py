@@ -15,11 +15,12 @@ Every occurrence of a word scores in the scan, so a passage is found wherever it
 damped in the evidence alone, else one passage repeated through a long text would outweigh many different ones.
 
 Labels are learned only from rows whose crc32(doc_id) mod 5 is not 0; at most ``SAMPLE_ROWS`` of
-them, those of the smallest hashes (a documented bound on the fit; corpus counts and scoring cover all rows).
+them and ``SAMPLE_BYTES`` of their texts, whole rows by the smallest hashes (a documented bound on the fit; corpus counts and scoring
+cover all rows).
 
 Defined cases: null and empty texts have no segment and get the score of no evidence; a doc_id with
 several labels counts as toxic if any is; null labels are ignored; repeated rows are scored
-each; without labels of both kinds every score is 0; an empty table gives no rows.
+each and learned from once; without labels of both kinds every score is 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm.common import materialize, table
 
-SAMPLE_ROWS = 16_000
+SAMPLE_ROWS, SAMPLE_BYTES = 16_000, 256 << 20
 FOLDS, HELD_OUT = 5, 0
 #: A feature is kept if it is in so many toxic training texts, in a larger share of the toxic than of the clean ones (so that the rule
 #: doesn't depend on how many there are of each), and its log-odds are so large and so many deviations above 0.
@@ -105,15 +106,19 @@ def token_scores(memo: TokenScores, words: list[str]) -> np.ndarray:
     return np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
 
 
+def significant(found: list[tuple[int, int, float]], n_words: int, lam: float, k: float) -> list[tuple[int, int, float]]:
+    """The segments of which chance gives less than one as good in so many words."""
+    least = math.log(max(k * n_words, 1.0))
+    return [x for x in found if lam * x[2] > least]
+
+
 def evidence(found: list[tuple[int, int, float]], words: list[str], scores: np.ndarray, lam: float, k: float) -> float:
     """Sum over significant segments of how far they exceed what chance gives in so many words; segments whose sets of scoring
     words are equal count once, by the best."""
     least, best = math.log(max(k * len(words), 1.0)), {}
     for a, b, s in found:
-        x = lam * s - least
-        if x > 0:
-            own = frozenset(words[a + i].strip(STRIP).lower() for i in np.flatnonzero(scores[a : b + 1] > 0).tolist())
-            best[own] = max(best.get(own, 0.0), x)
+        own = frozenset(words[a + i].strip(STRIP).lower() for i in np.flatnonzero(scores[a : b + 1] > 0).tolist())
+        best[own] = max(best.get(own, 0.0), lam * s - least)
     return math.fsum(best.values())
 
 
@@ -121,9 +126,10 @@ def _scan(model: dict):
     memo = TokenScores(model["weights"])
 
     def scan(text: str | None):
+        """The significant segments and their evidence."""
         words = (text or "").split()
         scores = token_scores(memo, words)
-        found = segments(scores)
+        found = significant(segments(scores), len(words), model["lambda"], model["k"])
         return found, evidence(found, words, scores, model["lambda"], model["k"])
 
     return scan
@@ -150,7 +156,7 @@ def _score(shared):
                 found, x = scan(text.as_py())
                 scores.append(_probability(model, x))
                 values.append(x)
-                spans.append([{"first_word": a, "last_word": b, "score": s} for a, b, s in found if model["lambda"] * s > 0])
+                spans.append([{"first_word": a, "last_word": b, "score": s} for a, b, s in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(values, pa.float64()), pa.array(spans, _SPANS)], schema=_SCORED_SCHEMA)
 
     return run
@@ -229,8 +235,9 @@ def logistic_1d(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(max(b, 1e-3))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int) -> DataFrame:
-    """(label, text) of at most so many labelled rows outside the held-out fold, those of the smallest hashes."""
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int, most_bytes: int) -> DataFrame:
+    """(label, text) of distinct labelled rows outside the held-out fold: by rising hash of doc_id, at most so many, and as many as
+    keep their texts within most_bytes (one at least). Rows are taken whole."""
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != held_out)
@@ -240,14 +247,26 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         .limit(rows)
     )
     # at most `rows` pairs of integers: bounded, so broadcast; the texts of other rows are never shuffled
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(materialize(chosen, "labelled")), "doc_id")
+    found = found.select(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("t")).alias("key"), "label", "text")
+    keys = found.select("key", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).distinct().orderBy("key").limit(rows).collect()
+    last, held = None, 0
+    for r in keys:
+        held += r.size
+        if last is not None and held > most_bytes:
+            break
+        last = r.key
+    if last is None:
+        return found.select("label", "text").limit(0)
+    within = found.where(F.col("key") <= F.struct(F.lit(last.h).cast("long").alias("h"), F.lit(last.doc_id).cast("long").alias("doc_id"), F.lit(last.t).alias("t")))
+    return within.dropDuplicates(["key"]).select("label", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, sample_rows: int = SAMPLE_ROWS) -> dict:
     """The model: feature weights (bounded by the sample), lambda, K and the logistic map."""
     spark = docs.sparkSession
     none = {"weights": {}, "lambda": 1.0, "k": 1.0, "a": -40.0, "b": 1e-3}
-    sample = materialize(training_sample(docs, labels, "toxic", folds, held_out, sample_rows), "toxicity-sample")
+    sample = materialize(training_sample(docs, labels, "toxic", folds, held_out, sample_rows, SAMPLE_BYTES), "toxicity-sample")
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -309,7 +328,7 @@ def _evidence_of(sample: DataFrame, model: dict) -> list[tuple[int, float]]:
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, score, evidence and the maximal segments of each row of docs (doc_id, text)."""
+    """doc_id, score, evidence and the significant segments of each row of docs (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_score(shared), SCORED)
 
