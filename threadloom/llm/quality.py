@@ -5,13 +5,13 @@ encoded from its histogram of byte-class bigrams and its share of words that rep
 a learned layer embeds it, gated attention weighs the passages, and the weighted representation is
 scored. Only document labels are used; the attention says which passages decided.
 
-The fit takes at most ``SAMPLE_ROWS`` labelled rows whose crc32(doc_id) mod 3 is not 1 (those of the
-smallest hashes; a documented bound), and of a sampled document longer than ``FIT_PASSAGES``
-passages that many, evenly spaced; scoring reads every passage of every row.
+The fit takes at most ``SAMPLE_ROWS`` labelled rows whose crc32(doc_id) mod 3 is not 1, and at most ``SAMPLE_BYTES`` of their
+texts (those of the smallest hashes; a documented bound on rows), with all their passages; scoring reads every passage of every row.
 
-Defined cases: null and empty texts are one passage without bytes; several labels of a doc_id
+Defined cases: null and empty texts are one passage without bytes; texts without a word (null, empty, white space) hold nothing to
+judge, so ``accepted`` keeps them whatever their score; several labels of a doc_id
 count as their maximum; without labels of both kinds every score is 1 (nothing is rejected); repeated
-rows are scored each; an empty table gives no rows.
+rows are scored each and learned from once; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from threadloom.llm.common import materialize, table
 from threadloom.llm.toxicity import held_out, training_sample
 
-SAMPLE_ROWS = 6_000
-FIT_PASSAGES = 24
+SAMPLE_ROWS, SAMPLE_BYTES = 6_000, 64 << 20
 FOLDS, HELD_OUT = 3, 1
 PASSAGE_BYTES = 512
 CLASSES = 16
@@ -46,6 +45,7 @@ def _byte_classes() -> np.ndarray:
 
 
 _CLASS = _byte_classes()
+_SPACE = " \t\n\x0b\x0c\r"
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _WEIGHT = np.random.default_rng(7).integers(1, 2**31, 64).astype(np.uint32) | np.uint32(1)
@@ -138,14 +138,12 @@ def _bags(batches):
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             x = encode(text)
-            if len(x) > FIT_PASSAGES:
-                x = x[np.linspace(0, len(x) - 1, FIT_PASSAGES).astype(int)]
             yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([len(x)], pa.int32()), pa.array([x.astype(np.float16).tobytes()], pa.binary())], names=["label", "n", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT, sample_rows: int = SAMPLE_ROWS) -> dict | None:
     """The model, or None if the labels don't have both kinds."""
-    sample = training_sample(docs, labels, "quality", folds, fold, sample_rows)
+    sample = training_sample(docs, labels, "quality", folds, fold, sample_rows, SAMPLE_BYTES)
     rows = materialize(sample.mapInArrow(_bags, "label int, n int, x binary"), "quality-sample").collect()
     rows.sort(key=lambda r: (r.label, r.n, bytes(r.x)))  # the fit doesn't depend on the order of partitions
     y = np.array([r.label for r in rows], dtype=np.float32)
@@ -183,13 +181,18 @@ def _keep(shared):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                yield part.filter(pa.array(predict(shared.value, part.column("text").to_pylist())[0] >= 0.5))
+                texts = part.column("text").to_pylist()
+                judged = [i for i, t in enumerate(texts) if t and t.strip(_SPACE)]
+                stays = np.ones(len(texts), bool)
+                if judged:
+                    stays[judged] = predict(shared.value, [texts[i] for i in judged])[0] >= 0.5
+                yield part.filter(pa.array(stays))
 
     return run
 
 
 def accepted(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The rows of docs that the model accepts, with all columns; a filter of map tasks alone."""
+    """The rows of docs that the model accepts or that have no word, with all columns; a filter of map tasks alone."""
     return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)
 
 
