@@ -4,11 +4,11 @@ Two tiers: a minimal perfect hash over the vocabulary (hash and displace, one 64
 verified against the stored token) resolves a pre-token that is itself in the vocabulary; any other
 pre-token is merged by a heap of adjacent pairs over a linked list of its bytes, O(n log n) for
 however long a pre-token. Results are kept in bounded per-worker memos.
-A unit of letters, or of letters and one sign of end punctuation, is split without the pattern.
 
-Splitting: the text is first cut before every single space that stands between two non-blank
+Splitting, where the pattern is ``UNIT_PATTERN``: the text is first cut before every single space that stands between two non-blank
 characters. No match of the pattern crosses such a place (a match that takes the space starts
-there), so each unit is matched by the pattern on its own and equal units are encoded once.
+there), so each unit is matched by the pattern on its own and equal units are encoded once; a unit of letters, or of letters and
+one sign of end punctuation, is split without it. With any other pattern the whole text is matched.
 
 Defined cases: a null text is empty; an empty text has no ids; special tokens are never made;
 duplicate rows are kept; further columns are ignored; an empty table gives no rows.
@@ -32,6 +32,8 @@ from threadloom.llm.common import table
 #: Entries of a worker's memo generation.
 MEMO = 200_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# Fixed value: the published pattern of byte-level BPE's first vocabulary.
+UNIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 ENCODED = DIGESTS + ", ids array<int>"
@@ -183,6 +185,7 @@ class _LaterUnits(_Units):
 class Codec:
     def __init__(self, tokens: list[bytes], pattern: str, phash: MinimalPerfectHash | None = None) -> None:
         self.tokens, self.pattern, self.hash = tokens, regex.compile(pattern), phash or MinimalPerfectHash(tokens)
+        self.by_units = pattern == UNIT_PATTERN
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.spelled = {str(i): t for i, t in enumerate(tokens)}
         self.pieces = _Pieces(self, MEMO)
@@ -192,6 +195,8 @@ class Codec:
         """The ids as decimal numbers joined by one space."""
         if not text:
             return ""
+        if not self.by_units:
+            return " ".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
         head, *rest = text.split(" ")
         try:
             if not rest:
