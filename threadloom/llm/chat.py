@@ -1,7 +1,7 @@
 """Chat formatting: typed content parts flattened by a visitor into a turn template.
 
-A conversation is a run of rows ordered by (turn, role, text). A row's content is its text,
-or, where a ``parts`` column is given, an array of typed parts. The visitor writes text parts
+A conversation is a run of rows ordered by (turn, formatted segment). A row's content is its text,
+or, where a column ``parts`` is an array of structs with a field ``type``, those typed parts. The visitor writes text parts
 escaped, and every image, audio and document part as a placeholder; attachments are recorded
 in order with the number of tokens that the placeholder expands to.
 
@@ -12,9 +12,11 @@ Escaping is reversible: in texts and roles, each control string (``<|``, ``<s>``
 and one that already has n backslashes there gets n + 1; reading takes one away.
 
 Defined cases: a null text or role is empty; a null conv_id is a conversation of its own; a null
-turn sorts first; rows that tie on turn go by role, then text, and repeated rows all count; an empty
-table gives no rows; further columns are ignored. Conversations are streamed from sorted
-partitions, so no conversation is ever held in memory as a whole.
+turn sorts first; rows that tie on turn go by their formatted segments (so by role, then escaped text), and repeated rows all count; a null
+array of parts stands for the text, an empty one for no content; a column ``parts`` of any other type is ignored, as are further columns; an
+empty table gives no rows. Rows are formatted where they are read, in parallel whatever conversation they
+belong to. Only what is sequential by nature, the offsets and the digests of one conversation, follows the order of turns: segments are
+streamed from sorted partitions, so no conversation is ever held in memory as a whole.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ import math
 import re
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from threadloom.llm.common import table
 
@@ -106,29 +110,48 @@ def format_turn(role: str | None, text: str | None, parts: list[dict] | None = N
     return f"{head}{content}{END}", len(head), len(head) + len(content), visitor.attachments
 
 
+_PIECES = "conv_id long, turn long, role string, segment string, n_chars long, loss_start long, loss_end long, attachments array<struct<kind:string,ref:string,position:long,n_tokens:long>>"
+_PIECE_SCHEMA = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("segment", pa.string()), ("n_chars", pa.int64()), ("loss_start", pa.int64()), ("loss_end", pa.int64()), ("attachments", _ATTACHMENT)])
+
+
 def _format(batches):
-    conv, offset, first = None, 0, True
+    """Each row's segment, with places counted from the segment's start."""
     for batch in batches:
-        rows = batch.to_pylist()
         out = []
-        for row in rows:
-            if first or row["conv_id"] != conv:
-                conv, offset, first = row["conv_id"], 0, False
+        for row in batch.to_pylist():
             segment, lo, hi, attachments = format_turn(row["role"], row["text"], row.get("parts"))
-            for one in attachments:
-                one["position"] += offset
             loss = row["role"] == "assistant"
-            out.append({"conv_id": conv, "turn": row["turn"], "role": row["role"], "segment": segment, "char_start": offset, "loss_start": offset + lo if loss else None, "loss_end": offset + hi if loss else None, "attachments": attachments})
-            offset += len(segment)
-        yield pa.RecordBatch.from_pylist(out, schema=_SEGMENT_SCHEMA)
+            out.append({"conv_id": row["conv_id"], "turn": row["turn"], "role": row["role"], "segment": segment, "n_chars": len(segment), "loss_start": lo if loss else None, "loss_end": hi if loss else None, "attachments": attachments})
+        yield pa.RecordBatch.from_pylist(out, schema=_PIECE_SCHEMA)
+
+
+def _place(batches):
+    """Ordered segments with their places counted from the conversation's start."""
+    conv, offset, first = None, 0, True
+    for batch in batches:
+        starts, attachments = [], []
+        for c, n, own in zip(*(batch.column(x).to_pylist() for x in ("conv_id", "n_chars", "attachments")), strict=True):
+            if first or c != conv:
+                conv, offset, first = c, 0, False
+            starts.append(offset)
+            attachments.append([one | {"position": one["position"] + offset} for one in own])
+            offset += n
+        begin = pa.array(starts, pa.int64())
+        shifted = [pc.add(batch.column(x), begin) for x in ("loss_start", "loss_end")]
+        yield pa.RecordBatch.from_arrays([batch.column(x) for x in ("conv_id", "turn", "role", "segment")] + [begin, *shifted, pa.array(attachments, _ATTACHMENT)], schema=_SEGMENT_SCHEMA)
+
+
+def _has_parts(rows: DataFrame) -> bool:
+    kind = dict((f.name, f.dataType) for f in rows.schema).get("parts")
+    return isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType) and "type" in kind.elementType.fieldNames()
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
     """One row per turn, in order within each partition: its segment, its place in the conversation's
     formatted text (code points), the span under the loss mask (assistant content) and its attachments."""
-    columns = [F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"] + (["parts"] if "parts" in rows.columns else [])
-    ordered = rows.select(*columns).repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(_format, SEGMENTS)
+    columns = [F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")] + (["parts"] if _has_parts(rows) else [])
+    pieces = rows.select(*columns).mapInArrow(_format, _PIECES)
+    return pieces.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn", "segment").mapInArrow(_place, SEGMENTS)
 
 
 class _Reader:
@@ -195,13 +218,13 @@ with rows as (
   select conv_id, turn, role, text from conversations
   union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-t as (select conv_id, turn, role as r0, text as t0, coalesce(role, '') as role, coalesce(text, '') as text from rows)
+e as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+  '<|start|>' || regexp_replace(coalesce(role, ''), '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')
+  || '<|message|>' || regexp_replace(coalesce(text, ''), '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') || '<|end|>' as segment from rows)
 select conv_id, count(*) as n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, r0 nulls first, t0 nulls first)) as turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, segment)) as turns_sha256,
   cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
-  sha256(coalesce(string_agg(text, '' order by turn nulls first, r0 nulls first, t0 nulls first) filter (where role = 'assistant'), '')) as loss_sha256,
-  cast(sum(27
-    + length(regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g'))
-    + length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g'))) as bigint) as formatted_chars
-from t group by conv_id
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, segment) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(length(segment)) as bigint) as formatted_chars
+from e group by conv_id
 """
