@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("threadloom.llm")
@@ -116,13 +118,50 @@ def test_fingerprints(spark):
     assert fingerprint.fingerprints(odd(spark)).count() == 9 and fingerprint.fingerprints(odd(spark).where("false")).count() == 0
 
 
+def brute_sketch(text):
+    w = BLANK.findall(text or "")
+    shingles = {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    return hashlib.md5(" ".join(w).encode()).hexdigest(), sorted(h for h in (hashlib.md5(x.encode()).hexdigest()[:16] for x in shingles) if int(h, 16) < 1 << 63)
+
+
+def brute_likeness(a, b):
+    x, y = set(a[1]), set(b[1])
+    return len(x & y) / len(x | y) if x | y else float(a[0] == b[0])
+
+
+def test_fingerprints_equal_brute_force(spark):
+    random.seed(2)
+    texts = [" ".join(random.choice("abcdef") for _ in range(random.choice([0, 1, 3, 5, 6, 20, 300]))) + random.choice(["", " \n", "\tz"]) for _ in range(60)] + [None, "", " \x0b", "漢 é 𝔘 " * 9]
+    ids = [random.choice([None, 5, 5, 7, *range(100, 140)]) for _ in texts]
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in zip(ids, texts, strict=True)], DOC).withColumn("sketch", F.lit(1))
+    rows = sorted(zip(ids, texts, strict=True), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()), reverse=True)
+    want = []
+    for at, (d, text) in enumerate(rows):
+        text, following = text or "", rows[(at + 1) % len(rows)][1] or ""
+        edited = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        own, changed, after = map(brute_sketch, (text, edited, following))
+        want.append((d, len(text), sha(edited), f"{own[0]}:{','.join(own[1])}", f"{changed[0]}:{','.join(changed[1])}", brute_likeness(own, changed), brute_likeness(own, after)))
+    got = fingerprint.fingerprints(table)
+    assert got.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+def test_fingerprint_ranges_divide_hot_ids(spark):
+    bounds = fingerprint._bounds([1, 5, 5, 5, 9])
+    assert [b[0] for b in bounds] == [1, 5, 5, 5, 9] and bounds[1][1] == 0 < bounds[2][1] < bounds[3][1]
+    hot = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    sizes = [r["count"] for r in fingerprint.with_next(hot).where("not copy").groupBy("bucket").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 800
+
+
 def test_sketches_estimate_containment(spark):
     big = " ".join(f"t{i}" for i in range(8000))
     small = " ".join(f"t{i}" for i in range(1000, 2000))
-    both = docs(spark, [big, small])
-    s = fingerprint.with_sketch(both, "text", "k")
-    row = s.where("doc_id = 1").select(F.col("k").alias("a")).crossJoin(s.where("doc_id = 0").select(F.col("k").alias("b"))).select(fingerprint.containment(F.col("a"), F.col("b")).alias("c"), F.size(fingerprint.merge(F.col("a"), F.col("b"))["hashes"]).alias("n"), F.size("b.hashes").alias("nb")).first()
-    assert row.c > 0.95 and abs(row.n - row.nb) <= 4
+    s = fingerprint.with_sketch(docs(spark, [big, small]), "text", "k")
+    a, b = F.col("a"), F.col("b")
+    row = s.where("doc_id = 1").select(F.col("k").alias("a")).crossJoin(s.where("doc_id = 0").select(F.col("k").alias("b"))).select(
+        fingerprint.containment(a, b).alias("c"), fingerprint.likeness(a, b).alias("j"), fingerprint.cardinality(b).alias("n"), (fingerprint.merge(a, b)["hashes"] == b["hashes"]).alias("within")).first()
+    assert row.c == 1 and row.within and abs(row.j - 996 / 7996) < 0.02 and abs(row.n - 7996) < 500
 
 
 # 3
@@ -244,6 +283,15 @@ def test_bpe_equals_tiktoken(codec):
         assert codec.decode(ids).decode() == text
 
 
+def test_bpe_takes_any_pattern(codec):
+    import tiktoken
+
+    pattern = r"\w{1,3}|\W"
+    own, other = bpe.Codec(codec.tokens, pattern, codec.hash), tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=codec.ranks, special_tokens={})
+    for text in ("Several words, and one more.", "漢字 don't", ""):
+        assert own.encode(text) == other.encode_ordinary(text)
+
+
 def test_minimal_perfect_hash(codec):
     h = bpe.MinimalPerfectHash(codec.tokens)
     assert [h.candidate(t) for t in codec.tokens] == list(range(len(codec.tokens)))
@@ -310,6 +358,97 @@ def test_every_toxic_passage_is_found():
     assert [f[:2] for f in dense] == [(0, 2), (63, 68)] and dense[1][2] == pytest.approx(14.5)
 
 
+def test_only_significant_segments_count():
+    scan = toxicity._scan({"weights": {"=vile": 3.0, "=mean": 0.5}, "lambda": 1.0, "k": 1.0})
+    found, x = scan("mean" + " word" * 10 + " vile vile")  # chance gives a segment of log(13) = 2.56 once
+    assert [f[:2] for f in found] == [(11, 12)] and x == pytest.approx(6 - np.log(13))
+
+
+def test_toxicity_equals_brute_force(spark):
+    """The whole operator again, from its docstring, in plain Python."""
+    from math import exp, log, sqrt
+
+    random.seed(17)
+    common = [f"plain{i}" for i in range(60)]
+    texts = []
+    for i in range(250):
+        w = [random.choice(common) for _ in range(random.randint(0, 60))]
+        if i % 3 == 0:
+            at = random.randint(0, len(w))
+            w[at:at] = random.sample(["Awful,", "vile1", "vile2", "mean", "meaner"], random.randint(1, 4))
+        texts.append(" ".join(w))
+    texts += [None, "", texts[0]]
+    labels = [(i, int(i % 3 == 0) if i % 17 else None) for i in range(253)] + [(3, 0)]
+    train = [(t, y) for i, t in enumerate(texts) if i % 17 and zlib.crc32(str(i).encode()) % 5 for y in [int(i % 3 == 0)]]
+
+    def words_of(t):
+        return (t or "").split()
+
+    def feats(w):
+        w = w.strip(toxicity.STRIP).lower()
+        return ["=" + w] + ["^" + w[:k] for k in (8, 7, 6, 5, 4) if len(w) >= k] if w else []
+
+    def has(t):
+        return {f for w in words_of(t) for f in feats(w)}
+
+    n1, n0 = sum(y for _, y in train), sum(1 - y for _, y in train)
+    c1, c0, every = ({} for _ in range(3))
+    for t, y in train:
+        for f in has(t):
+            (c1 if y else c0)[f] = (c1 if y else c0).get(f, 0) + 1
+    for t in texts:
+        for f in has(t):
+            every[f] = every.get(f, 0) + 1
+    total, weights = min(500.0, 0.05 * (n1 + n0)), {}
+    for f, y1 in c1.items():
+        y0 = c0.get(f, 0)
+        if y1 >= 3 and y1 / n1 > y0 / n0:
+            prior = max(0.05, total * every[f] / len(texts))
+            a, b = y1 + prior, y0 + prior
+            d = log(a / max(n1 + total - a, 0.5)) - log(b / max(n0 + total - b, 0.5))
+            if d / sqrt(1 / a + 1 / b) >= 2.6 and d >= 1.2:
+                weights[f] = d
+
+    def scores_of(t):
+        return [max((weights[f] for f in feats(w) if f in weights), default=-0.4) for w in words_of(t)]
+
+    def best_of(scores):  # maximal segments by splitting at the best one
+        if not any(s > 0 for s in scores):
+            return []
+        _, _, _, i, j = max((round(sum(scores[i:j]), 9), i - j, -i, i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1))
+        return [*best_of(scores[:i]), (i, j - 1, sum(scores[i:j])), *((a + j, b + j, s) for a, b, s in best_of(scores[j:]))]
+
+    model = toxicity.fit(docs(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model["weights"] == pytest.approx(weights)
+    lam, k = model["lambda"], model["k"]
+    clean = [(scores_of(t)) for t, y in train if not y]
+    hits, size = sum(s > 0 for x in clean for s in x), sum(map(len, clean))
+    high, share = (np.mean(list(weights.values())), 1 / (max(1, int(size / hits)) + 1)) if hits else (max(weights.values()), 1 / 2000)
+    assert share * exp(lam * high) + (1 - share) * exp(-0.4 * lam) == pytest.approx(1, abs=1e-3)
+    assert k == pytest.approx(np.clip(1 / max(1e-9, np.mean([len(x) * exp(-lam * max((s for *_, s in best_of(x)), default=0)) for x in clean])), 1e-4, 1))
+    for r in toxicity.score(docs(spark, texts), model).collect():
+        t, scores = texts[r.doc_id], scores_of(texts[r.doc_id])
+        least, own = log(max(k * len(scores), 1)), {}
+        spans = [x for x in best_of(scores) if lam * x[2] > least]
+        for a, b, s in spans:
+            key = frozenset(words_of(t)[i].strip(toxicity.STRIP).lower() for i in range(a, b + 1) if scores[i] > 0)
+            own[key] = max(own.get(key, 0), lam * s - least)
+        assert [(x.first_word, x.last_word) for x in r.spans] == [x[:2] for x in spans]
+        assert r.evidence == pytest.approx(sum(own.values())) and r.score == pytest.approx(1 / (1 + exp(-max(-40, min(40, model["a"] + model["b"] * r.evidence)))))
+
+
+def test_training_sample_is_bounded(spark):
+    d = docs(spark, [f"text {i} " + "x" * 100 for i in range(50)]).union(docs(spark, ["same row"] * 30).withColumn("doc_id", F.lit(7).cast("long")))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    every = toxicity.training_sample(d, labels, "toxic", 5, 0, 1000, 1 << 20).collect()
+    held = {r.doc_id for r in d.where(toxicity.held_out(5, 0)).collect()}
+    assert len(every) == 50 - len(held) + (7 not in held) and sum(r.text == "same row" for r in every) == (7 not in held)
+    few = toxicity.training_sample(d, labels, "toxic", 5, 0, 1000, 1000).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 1000 and {r.text for r in few} <= {r.text for r in every}
+    assert toxicity.training_sample(d, labels, "toxic", 5, 0, 4, 1 << 20).count() <= 4
+    assert toxicity.training_sample(d.where("false"), labels, "toxic", 5, 0, 4, 1 << 20).count() == 0
+
+
 def test_features_of_a_rare_label(spark):
     texts = ["vile " * (i % 2) + f"toxic{i}" if i < 8 else "vile plain" if i < 14 else f"plain{i}" for i in range(800)]
     labels = spark.createDataFrame([(i, int(i < 8)) for i in range(800)], "doc_id long, toxic int")
@@ -330,6 +469,58 @@ def test_quality_learns(spark):
     assert quality.fit(d, labels.where("quality = 1")) is None
 
 
+def test_quality_equals_brute_force():
+    """Encoding, gated attention and score in plain loops; gradients against differences."""
+    from math import exp, tanh
+
+    rng = np.random.default_rng(5)
+    texts = [None, "", "a", "one two two  THREE!", "x y " * 700 + "End.", "é" * 600, "\n\t" * 300]
+    for text in texts:
+        data = (text or "").encode()
+        x = quality.encode(text)
+        passages = max(1, (len(data) + 128) // 512)
+        assert len(x) == passages
+        counts = np.zeros((passages, 256))
+        for i in range(len(data) - 1):
+            counts[min(i // 512, passages - 1), quality._CLASS[data[i]] * 16 + quality._CLASS[data[i + 1]]] += 1
+        assert np.allclose(x[:, :256], counts / np.maximum(counts.sum(1, keepdims=True), 1), atol=1e-6)
+        again, starts, at = np.zeros(passages), np.zeros(passages), 0
+        found = [(m.start(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)] if len(data) > 1 else []
+        for (_, before), (place, word) in zip(found, found[1:], strict=False):
+            starts[min(place // 512, passages - 1)] += 1
+            again[min(place // 512, passages - 1)] += word == before
+        assert np.allclose(x[:, 256], again / np.maximum(starts, 1), atol=1e-6)
+    bags = [rng.random((n, quality.WIDTH)).astype(np.float32) for n in (1, 3, 2)]
+    model = quality.train(np.concatenate(bags), np.array([1, 3, 2]), np.array([0, 1, 0], dtype=np.float32))
+    first = np.array([0, 1, 4])
+    *_, attention, _, _, p = quality._forward(model, np.concatenate(bags), first)
+    for b, bag in enumerate(bags):
+        hidden, weight = [], []
+        for row in bag:
+            z = [(row[i] - model["mean"][i]) / model["sd"][i] for i in range(quality.WIDTH)]
+            h = [tanh(sum(z[i] * model["W"][i, j] for i in range(quality.WIDTH)) + model["b"][j]) for j in range(quality.HIDDEN)]
+            gate = [tanh(sum(h[j] * model["V"][j, a] for j in range(quality.HIDDEN))) / (1 + exp(-sum(h[j] * model["U"][j, a] for j in range(quality.HIDDEN)))) for a in range(quality.ATTENTION)]
+            hidden.append(h)
+            weight.append(exp(sum(g * model["w"][a] for a, g in enumerate(gate))))
+        share = [w / sum(weight) for w in weight]
+        score = 1 / (1 + exp(-sum(model["c"][j] * sum(a * h[j] for a, h in zip(share, hidden, strict=True)) for j in range(quality.HIDDEN)) - model["d"][0]))
+        assert np.allclose(attention[first[b] : first[b] + len(bag)], share, atol=1e-4) and p[b] == pytest.approx(score, abs=1e-4)
+
+
+def test_quality_keeps_texts_without_words(spark):
+    model = {"mean": np.zeros(quality.WIDTH), "sd": np.ones(quality.WIDTH), "W": np.zeros((quality.WIDTH, 2)), "b": np.zeros(2), "V": np.zeros((2, 2)), "U": np.zeros((2, 2)), "w": np.zeros(2), "c": np.zeros(2), "d": np.array([-9.0])}
+    rows = docs(spark, [None, "", " \t\n\x0b", "word", "more words"]).withColumn("score", F.lit("x"))
+    kept = quality.accepted(rows, model)
+    assert kept.columns == rows.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]
+
+
+def test_fit_reads_all_passages(spark):
+    text = "plain words " * 2000
+    rows = [pa.RecordBatch.from_pydict({"label": pa.array([1], pa.int32()), "text": [text]})]
+    (batch,) = quality._bags(rows)
+    assert batch.column(1).to_pylist() == [len(quality.encode(text))] and len(quality.encode(text)) > 40
+
+
 # 8
 def brute_removed(rows):
     """(doc_id, text) sorted: kept words of each."""
@@ -400,7 +591,7 @@ def test_chat_round_trip(spark):
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("segment", F.lit(0))
     out = {r.conv_id: r for r in chat.read_digests(chat.format_conversations(table)).collect()}
     for c in {r[0] for r in rows}:
-        own = sorted((r for r in rows if r[0] == c), key=lambda r: (-1 if r[1] is None else r[1], r[2] is not None, r[2] or "", r[3] is not None, r[3] or ""))
+        own = sorted((r for r in rows if r[0] == c), key=lambda r: (-1 if r[1] is None else r[1], chat.format_turn(r[2], r[3])[0]))
         assert out[c].n_turns == len(own)
         assert out[c].turns_sha256 == sha("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own))
         loss = "".join(r[3] or "" for r in own if r[2] == "assistant")
@@ -408,6 +599,21 @@ def test_chat_round_trip(spark):
     assert chat.read_digests(chat.format_conversations(table.where("false"))).count() == 0
 
 
+def test_chat_parts_of_a_table(spark):
+    kind = "array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
+    rows = [(1, 0, "user", "not read", [("text", "see ", None, None, None, None, None), ("image", None, "a.png", 56, 28, None, None)]), (1, 1, "assistant", "yes", None), (1, 2, "user", "x", [("document", None, "b.pdf", None, None, None, 1)]), (2, 0, "user", "gone", [])]
+    table = spark.createDataFrame(rows, f"conv_id long, turn long, role string, text string, parts {kind}")
+    out = sorted(chat.format_conversations(table).collect(), key=lambda r: (r.conv_id, r.turn))
+    whole = "".join(r.segment for r in out if r.conv_id == 1)
+    assert [r.segment[len("<|start|>user<|message|>") : -len("<|end|>")] for r in out if r.role == "user"] == ["see <|image|>", "<|document|>", ""]
+    assert [(a.kind, a.ref, a.n_tokens, whole[a.position :].startswith(chat.PLACEHOLDER[a.kind])) for r in out for a in r.attachments] == [("image", "a.png", 2, True), ("document", "b.pdf", 256, True)]
+    (loss,) = [(r.loss_start, r.loss_end) for r in out if r.loss_start is not None]
+    assert whole[slice(*loss)] == "yes"
+    for clash in (F.lit("text"), F.array(F.lit("text")), F.lit(3)):
+        same = chat.format_conversations(table.withColumn("parts", clash)).where("conv_id = 2").first()
+        assert same.segment == "<|start|>user<|message|>gone<|end|>"
+
+
 def test_chat_parts(spark):
     parts = [{"type": "text", "text": "see <|image|>"}, {"type": "image", "ref": "a.png", "width": 56, "height": 29}, {"type": "audio", "ref": "b.wav", "seconds": 2.0}, {"type": "document", "ref": "c.pdf", "pages": 2}]
     segment, lo, hi, attachments = chat.format_turn("user", None, parts)
