@@ -568,17 +568,60 @@ def test_substring_odd_rows(spark):
     assert substring.dedup_digests(odd(spark).where("false")).count() == 0
 
 
-def test_cuts_depend_on_near_words_only():
+def test_symbols_stand_wherever_their_context_does():
+    """Of a window's words alone follow its interior symbols, whatever is around it; long runs and small alphabets too."""
     rng = np.random.default_rng(3)
-    for _ in range(300):
-        vocabulary = rng.integers(0, 2**63, rng.integers(1, 30)).astype(np.uint64)
-        window, found = vocabulary[rng.integers(0, len(vocabulary), 20)], set()
-        for _ in range(3):
-            before, after = (vocabulary[rng.integers(0, len(vocabulary), rng.integers(0, 30))] for _ in range(2))
-            h = np.concatenate([before, window, after])
-            cuts = substring.surviving_cuts(h, np.array([0, len(h)])) - len(before)
-            found.add(tuple(cuts[(cuts >= substring.LEFT) & (cuts <= substring.WINDOW - substring.RIGHT)]))
-        assert len(found) == 1 and found.pop()
+    names = words.mix(np.arange(1, 40, dtype=np.uint64))
+    seen = 0
+    for trial in range(600):
+        kinds = int(rng.integers(1, 30))
+        window, found = rng.integers(0, kinds, 20), set()
+        if trial % 3 == 0:
+            window = np.repeat(window, rng.integers(1, 9, 20))[:20]
+        level = int(rng.integers(1, 8))
+        for _ in range(4):
+            before, after = (rng.integers(0, kinds, rng.integers(0, 30)) for _ in range(2))
+            ids = np.concatenate([before, window, after]).astype(np.int32)
+            seq = substring.Sequence(ids, names[ids], np.array([0, len(ids)])).rename(level)
+            inside = (seq.low >= len(before)) & (seq.high <= len(before) + 20)
+            found.add(tuple(zip(seq.name[inside].tolist(), (seq.at[inside] - len(before)).tolist(), (seq.low[inside] - len(before)).tolist(), (seq.high[inside] - len(before)).tolist(), strict=True)))
+        assert len(found) == 1, (trial, level)
+        seen += bool(found.pop())
+    assert seen > 200
+
+
+def test_runs_and_pairs_are_named():
+    ids = np.array([0, 1, 1, 1, 2, 0, 1, 1, 2, 0], np.int32)
+    names = words.mix(np.arange(1, 4, dtype=np.uint64))
+    seq = substring.Sequence(ids, names[ids], np.array([0, len(ids)]))
+    seq.name_runs()
+    assert seq.at.tolist() == [0, 1, 4, 5, 6, 8, 9] and len(set(seq.name.tolist())) == 4  # two words, runs of 3 and of 2
+    assert (seq.low.tolist()[1], seq.high.tolist()[1]) == (0, 5)  # a run's context holds the words that end it
+    while len(seq.name) > 1 and seq.level < 40:
+        seq.rename(seq.level + 1)
+    assert len(seq.name) == 1
+
+
+def test_buckets_are_walked_by_what_they_hold():
+    u = np.sort(words.mix(np.arange(1000, dtype=np.uint64)))
+    parts = list(substring._slices(u, 1 << 30))
+    assert len(parts) > 990 and sum(s.stop - s.start for _, s in parts) == 1000 and list(substring._slices(u[:0], 8)) == []
+    assert [b for b, _ in substring._slices(u, 4)] == [0, 1, 2, 3]
+
+
+def test_substring_dedup_of_long_runs(spark, monkeypatch):
+    monkeypatch.setattr(substring, "CHUNK_BYTES", 2000)
+    random.seed(21)
+    texts = []
+    for _ in range(60):
+        w = []
+        for _ in range(random.randint(1, 6)):
+            w += random.choice([["a"] * random.randint(1, 70), ["a", "b"] * random.randint(1, 30), [random.choice("abc") for _ in range(random.randint(1, 40))]])
+        texts.append(" ".join(w))
+    want = brute_removed(list(enumerate(texts)))
+    for r in substring.dedup_digests(docs(spark, texts).repartition(6)).collect():
+        kept, n = want[r.doc_id]
+        assert (r.n_words, r.n_removed, r.kept_sha256) == (n, n - len(kept), sha(" ".join(kept))), r.doc_id
 
 
 # 10
