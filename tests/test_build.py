@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import shard, users
+from threadloom.operators import related, shard, users
 from threadloom.plans.api import Database
 from threadloom.plans.build import Build
 from threadloom.sources import sinks
@@ -44,6 +44,14 @@ def test_build(spark, tmp_path):
     before = spark.read.parquet(f"{out}/users").inputFiles()
     build.run()
     assert spark.read.parquet(f"{out}/users").inputFiles() == before
+    shards = {s["sid"]: s for s in manifest["shards"]}
+    assert all(s["bytes"] > 0 and s["share"] > 0 and len(s["content"]) == 12 for s in shards.values()) and len({s["content"] for s in shards.values()}) == len(shards)
+    assert spark.read.parquet(f"{out}/user_months").count() == 5
+    listed = json.load(open(f"{out}/users.json"))
+    assert listed["totals"]["users"] == 5 and listed["user_growth"][0]["new_users"] == 5 and listed["user_active"] == [{"month": "2024-01", "active": 5}]
+    bounds = sorted((s["id_lo"], s["id_hi"], s["sid"]) for s in shards.values())
+    found = sinks.look_up(spark, f"{out}/shards", bounds, 33)
+    assert [r.id for r in found.collect()] == [33] and len(found.inputFiles()) == 1 and sinks.look_up(spark, f"{out}/shards", bounds, 999).count() == 0
     compressed = spark.read.parquet(f"{out}/cross")
     sinks.write_cross(compressed, f"{out}/cross.bin", len(manifest["shards"]), "binary")
     packed = sinks.unpack_cross(open(f"{out}/cross.bin", "rb").read())
@@ -51,6 +59,43 @@ def test_build(spark, tmp_path):
     assert sinks.read_shards(spark, f"{out}/shards", [0]).select("sid").distinct().count() == 1
 
 
+def _build_lines(n):
+    return [(i, "story" if i % 3 == 1 else "comment", f"u{i % 11}", 1704067200 + i, i, f"title {i}", "some words https://news.ycombinator.com/item?id=1", None, None if i % 3 == 1 else i - 1) for i in range(1, n + 1)]
+
+
+def test_steps_are_built_anew_when_their_settings_change(spark, tmp_path):
+    items = spark.createDataFrame(_build_lines(90), "id long, type string, author string, time long, score long, title string, text string, url string, parent long")
+    out = str(tmp_path / "out")
+
+    def files(name):
+        return set(spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(f"{out}/{name}").select("path").toPandas()["path"])
+
+    rules, other = shard.CutRules(target_bytes=2000, max_days=None), shard.CutRules(target_bytes=4000, max_days=None)
+    with pytest.raises(ValueError):
+        Build(spark, out, rules).run()
+    Build(spark, out, rules, user_target=1, user_every=4).run(items=items)
+    before = {name: files(name) for name in ("shards", "users", "related/components", "edges")}
+    assert [s["users"] for s in json.load(open(f"{out}/users.json"))["shards"]] == [4, 4, 3]
+    Build(spark, out, rules, user_target=1, user_every=6).run()
+    after = {name: files(name) for name in before}
+    assert [name for name in before if before[name] != after[name]] == ["users"]
+    Build(spark, out, rules, related.Config(min_edge_weight=0.5), user_target=1, user_every=6).run()
+    assert files("related/components") != after["related/components"] and files("edges") == after["edges"]
+    sinks.remove(spark, f"{out}/_steps/edges")  # as if the run had ended while edges were written
+    Build(spark, out, rules, related.Config(min_edge_weight=0.5), user_target=1, user_every=6).run()
+    assert files("edges") != after["edges"] and files("shards") == after["shards"]
+    n = len(json.load(open(f"{out}/manifest.json"))["shards"])
+    Build(spark, out, other, related.Config(min_edge_weight=0.5), user_target=1, user_every=6).run(items=items)
+    assert len(json.load(open(f"{out}/manifest.json"))["shards"]) < n and files("edges") != after["edges"]
+
+
+def test_shard_discovery_prefers_hashed_and_gzip(spark, tmp_path):
+    for name in ("shard_0.sqlite", "shard_0.sqlite.gz", "shard_1.sqlite.gz", "shard_1_0123456789ab.sqlite.gz", "shard_2.sqlite", "shard_x.sqlite", "shard_3_zz.sqlite", "other_4.sqlite"):
+        (tmp_path / name).write_bytes(name.encode())
+    found = {r.sid: (r.file, r.bytes) for r in sinks.discover_shards(spark, str(tmp_path)).collect()}
+    assert found == {0: ("shard_0.sqlite.gz", 17), 1: ("shard_1_0123456789ab.sqlite.gz", 30), 2: ("shard_2.sqlite", 14)}
+
+
 def test_host_calls(spark):
     db = Database(spark, items=spark.range(5).withColumn("name", F.concat(F.lit("n"), "id")))
     assert db.select_value("select count(*) from {items}") == 5

@@ -173,3 +173,91 @@ def test_golden_manifest_invariants():
     assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:], strict=False))
     for s in shards[::97]:
         assert shard.locate(bounds, s["id_lo"]) == s["sid"] == shard.locate(bounds, s["id_hi"])
+
+
+def test_parent_cycles_end(spark):
+    rows = [(1, 2), (2, 1), (3, 1), (4, 3), (5, 5), (6, None), (7, 6), (8, 99)] + [(i, i - 1) for i in range(100, 180)]
+    items = spark.createDataFrame([(i, "story" if i in (3, 6) else "comment", p) for i, p in rows], "id long, type string, parent long")
+    assert {r.id: r.story_id for r in ancestors.story_of_item(items).collect() if r.id < 100} == {1: None, 2: None, 3: 3, 4: 3, 5: None, 6: 6, 7: 6, 8: None}
+    marked = spark.createDataFrame([(3,), (99,), (100,)], "id long")
+    assert {r.id: r.comment_total for r in ancestors.comment_totals(items, marked).collect()} == {3: 1, 99: 0, 100: 79}
+    all_loop = spark.createDataFrame([(i, (i + 1) % 50) for i in range(50)], "id long, parent long")
+    assert {r.story_id for r in ancestors.nearest_marked(all_loop, marked.where("id > 99"), None).collect()} == {None}
+
+
+def brute_cut(rows, rules):
+    out, open_rows = [], []
+    for i, t, b in rows:
+        open_rows.append((i, t, b))
+        times = sorted(x for _, x, _ in open_rows if x is not None)
+        wide = bool(rules.max_days and times) and (times[-1] - times[0]) // 86400 >= rules.max_days
+        if wide and len(times) >= rules.robust_from:
+            wide = (shard.order_statistic(times, rules.high) - shard.order_statistic(times, rules.low)) // 86400 >= rules.max_days
+        if sum(x for *_, x in open_rows) >= min(rules.target_bytes, rules.max_bytes) or len(open_rows) >= rules.max_rows or wide:
+            out.append((open_rows[0][0], open_rows[-1][0]))
+            open_rows = []
+    return out + ([(open_rows[0][0], open_rows[-1][0])] if open_rows else [])
+
+
+def test_cut_equals_brute_force(spark, monkeypatch):
+    import random
+
+    random.seed(5)
+    for trial in range(6):
+        monkeypatch.setattr(shard, "PACKED_ROWS", random.choice([7, 64, 1000]))
+        rules = [shard.CutRules(target_bytes=3000, max_days=3, robust_from=8), shard.CutRules(target_bytes=10**6, max_days=2), shard.CutRules(target_bytes=10**6, max_rows=9, max_days=None), shard.CutRules(max_bytes=900, max_days=5), shard.CutRules(target_bytes=10**7, max_days=14), shard.CutRules(target_bytes=5000, max_days=1, robust_from=1000)][trial]
+        now, rows = 1704067200, []
+        for i in range(400):
+            now += random.choice([60, 3600, 40_000, -30_000])
+            time = None if random.random() < 0.1 or i < 3 else now + (10**7 if random.random() < 0.02 else 0)
+            rows.append((i * 3, time, "x" * random.randint(0, 300)))
+        items = spark.createDataFrame([(i, "comment", None, t, None, None, x, None, None) for i, t, x in rows], ITEM).repartition(5)
+        got = sorted((r.sid, r.id_lo, r.id_hi) for r in shard.shard_bounds(items, rules).collect())
+        want = brute_cut([(i, t, 80 + len(x)) for i, t, x in rows], rules)
+        assert got == [(k, *b) for k, b in enumerate(want)] and len(want) > 1, trial
+    assert shard.shard_bounds(items.where("false"), rules).count() == 0
+
+
+def test_intervals_are_joined_on_blocks(spark):
+    import random
+
+    random.seed(6)
+    cuts = sorted(random.sample(range(-5000, 100_000), 60))
+    bounds = spark.createDataFrame([(k, a, b - random.choice([1, 1, 5])) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))], "sid int, id_lo long, id_hi long")
+    keys = spark.createDataFrame([(random.randint(-6000, 101_000),) for _ in range(800)] + [(None,)], "id long")
+    joined = shard.with_shard(keys, bounds)
+    assert "NestedLoop" not in joined._jdf.queryExecution().toString() and "Cartesian" not in joined._jdf.queryExecution().toString()
+    want = [(r.id, b.sid) for r in keys.where("id is not null").collect() for b in bounds.collect() if b.id_lo <= r.id <= b.id_hi]
+    assert sorted((r.id, r.sid) for r in joined.collect()) == sorted(want) and want
+    assert shard.with_shard(keys, bounds.where("false")).count() == 0 and shard.with_shard(keys.where("false"), bounds).count() == 0
+    routed = users.route_users(spark.createDataFrame([(0, "a", "b"), (1, "bob", "m")], "sid int, user_lo string, user_hi string"), spark.createDataFrame([("x",)], "username string"))
+    assert "NestedLoop" not in routed._jdf.queryExecution().toString() and routed.count() == 0
+
+
+def test_numbers_and_rotation(spark):
+    from threadloom.operators import order
+
+    rows = spark.range(57).select(F.md5(F.col("id").cast("string")).alias("k"), (F.col("id") % 7 + 1).alias("size"))
+    ranked = order.numbered(rows, (F.col("k"),))
+    at = {r["rank"]: r["size"] for r in ranked.collect()}
+    assert [r.k for r in ranked.orderBy("rank").collect()] == sorted(r.k for r in rows.collect()) and sorted(at) == list(range(1, 58))
+    want, sid, n, held = {}, 0, 0, 0
+    for r in range(1, 58):
+        want[r], n, held = sid, n + 1, held + at[r]
+        if r % 5 == 0 and (n >= 20 or (held >= 30 and n >= 10)):
+            sid, n, held = sid + 1, 0, 0
+    got = {r["rank"]: r.sid for r in order.rotate(ranked, F.col("size"), 5, 30, 10, 20).collect()}
+    assert got == want and len(set(want.values())) > 2
+
+
+def test_empty_numbers_of_an_archive_dump(spark):
+    lines = ['{"id":1,"score":null,"time":"","parent":7}', '{"id":2}', '{"id":3,"score":"4"}']
+    df = spark.createDataFrame([(v, "a", i) for i, v in enumerate(lines)], "value string, file string, place long")
+    assert [(r.id, r.score, r.time, r.parent) for r in ingest.parse_lines(df, empty_as_zero=True).orderBy("id").collect()] == [(1, 0, 0, 7), (2, None, None, None), (3, 4, None, None)]
+    assert [(r.id, r.score, r.time) for r in ingest.parse_lines(df).orderBy("id").collect()] == [(1, None, None), (2, None, None), (3, 4, None)]
+
+
+def test_iso_time(spark):
+    times = [0, 1704067199, -1, None]
+    out = spark.createDataFrame([(t,) for t in times], "t long").select(scalar.iso_time(F.col("t"))).collect()
+    assert [r[0] for r in out] == ["1970-01-01T00:00:00Z", "2023-12-31T23:59:59Z", "1969-12-31T23:59:59Z", "n/a"]

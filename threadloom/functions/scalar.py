@@ -24,6 +24,13 @@ def month_key(seconds: Column) -> Column:
     return F.date_format(utc_date(F.nullif(seconds, F.lit(0).cast("bigint"))), "yyyy-MM")
 
 
+def iso_time(seconds: Column) -> Column:
+    """ISO 8601 in UTC, to the second; n/a for a missing time."""
+    rest = F.pmod(seconds, F.lit(86400))
+    parts = [F.lpad(F.floor(rest % per / unit).cast("string"), 2, "0") for per, unit in ((86400, 3600), (3600, 60), (60, 1))]
+    return F.when(seconds.isNull(), "n/a").otherwise(F.concat(F.date_format(utc_date(seconds), "yyyy-MM-dd"), F.lit("T"), F.concat_ws(":", *parts), F.lit("Z")))
+
+
 def day_end(seconds: Column) -> Column:
     """The last second of the UTC day."""
     return (F.floor(seconds / 86400) * 86400 + 86399).cast("bigint")

@@ -15,12 +15,12 @@ def nearest_marked(items: DataFrame, marked: DataFrame, max_depth: int | None =
     """(id, story_id) of each item: itself if it is in marked (id), else its nearest marked ancestor within max_depth hops (None: any number); null if there is none.
 
     Each round doubles how far every pointer reaches, so depth d takes log2(d) joins; a marked item points to itself with no hops, a missing
-    parent ends the chain. Every round's pointers are written, so lineage never grows."""
+    parent ends the chain, and so does a cycle of parents without a marked item: its items, and all below it, have none. Every round's pointers are written, so lineage never grows."""
     marks = marked.select("id").distinct().withColumn("mark", F.lit(True))
     start = items.select("id", "parent").join(marks, "id", "left")
     known = F.coalesce("mark", F.lit(False))
-    pointers = materialize(start.select("id", F.when(known, F.col("id")).otherwise(F.col("parent")).alias("to"), F.when(known, 0).otherwise(1).alias("hops"), known.alias("done")), "pointers")
-    limit = max_depth if max_depth is not None else 1 << 40
+    pointers = materialize(start.select("id", F.when(known, F.col("id")).otherwise(F.col("parent")).alias("to"), F.when(known, 0).otherwise(1).cast("bigint").alias("hops"), known.alias("done")), "pointers")
+    limit = max_depth if max_depth is not None else pointers.count()  # no chain is longer; on a cycle without a mark pointers run for ever
     reach = 1
     while True:
         open_rows = pointers.where("not done and `to` is not null")

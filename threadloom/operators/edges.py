@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from threadloom.functions.scalar import human_delta
 from threadloom.functions.text import flatten
-from threadloom.operators.shard import small
+from threadloom.operators.shard import in_intervals, small, with_shard
 
 
 def with_parent(items: DataFrame) -> DataFrame:
@@ -29,8 +29,8 @@ def cross_links(edge_rows: DataFrame, bounds: DataFrame) -> DataFrame:
 
 def skipped(edge_rows: DataFrame, bounds: DataFrame, items: DataFrame) -> DataFrame:
     """Edges whose parent is in another shard than the child, with both shards, the seconds between them and the start of the child's text."""
-    ranges = small(bounds.select(F.col("sid").alias("parent_sid"), "id_lo", "id_hi"))
-    crossing = edge_rows.join(ranges, F.col("parent_id").between(F.col("id_lo"), F.col("id_hi"))).where("parent_sid <> sid")
+    ranges = bounds.select(F.col("sid").alias("parent_sid"), "id_lo", "id_hi")
+    crossing = in_intervals(edge_rows, "parent_id", ranges, "id_lo", "id_hi").where("parent_sid <> sid")
     parent = items.select(F.col("id").alias("parent_id"), F.col("time").alias("parent_time"))
     child = items.select(F.col("id").alias("child_id"), F.col("time").alias("child_time"), flatten(F.col("text")).alias("text"))
     both = crossing.join(parent, "parent_id").join(child, "child_id").withColumn("seconds", F.col("child_time") - F.col("parent_time"))
@@ -48,6 +48,6 @@ def compressed_rows(cross: DataFrame) -> DataFrame:
 
 def thread(edge_rows: DataFrame, cross: DataFrame, bounds: DataFrame, parents: DataFrame) -> DataFrame:
     """Children of parents (parent_id) from their own shard and all shards the cross index names."""
-    own = parents.join(small(bounds.select("sid", "id_lo", "id_hi")), F.col("parent_id").between(F.col("id_lo"), F.col("id_hi"))).select("parent_id", "sid")
+    own = with_shard(parents, bounds, "parent_id").select("parent_id", "sid")
     where = own.union(parents.join(cross, "parent_id").select("parent_id", F.col("shard_sid").alias("sid"))).distinct()
     return edge_rows.join(where, ["sid", "parent_id"]).select("parent_id", "sid", "ord", "child_id")

@@ -12,6 +12,7 @@ from threadloom.functions.scalar import utc_date
 from threadloom.functions.text import MAX_LINKS_PER_ITEM, MAX_STORY_TOKENS, has_related_keyword, jaccard, linked_items, story_tokens
 from threadloom.operators.ancestors import MAX_DEPTH, comment_totals, nearest_marked
 from threadloom.operators.components import connected_components
+from threadloom.operators.order import numbered, rotate
 from threadloom.scratch import materialize
 
 
@@ -25,6 +26,9 @@ class Config:
     min_edge_weight: float = 0.18
     max_edges_per_source: int = 5
     components_per_shard: int = 3500
+    target_bytes: int = 15 << 20
+    least_components: int = 250
+    look_every: int = 100
     rank_model: str = "points"
 
     def __post_init__(self) -> None:
@@ -149,15 +153,48 @@ def component_links(parts: DataFrame, index: DataFrame, pruned: DataFrame) -> Da
     return pruned.join(one, "source_story_id").join(two, "target_story_id").where("component_id = other").drop("other").join(index.select("component_id"), "component_id", "left_semi")
 
 
-def ranked(index: DataFrame, config: Config = Config()) -> DataFrame:
-    """Components with rank (from 1) and shard. Ranks are row numbers within ranges of the score plus the sizes of the ranges above, so no task sees all rows."""
-    spark = index.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = (F.desc("rank_score"), F.desc("latest_time"), F.desc("component_id"))
-    dealt = materialize(index.repartitionByRange(parts, *keys).withColumn("range", F.spark_partition_id()), "ranked")
-    sizes = dealt.groupBy("range").agg(F.count("*").alias("n")).withColumn("above", F.sum("n").over(Window.orderBy("range")) - F.col("n")).select("range", "above")
-    rank = F.row_number().over(Window.partitionBy("range").orderBy(*keys)) + F.col("above")
-    return dealt.join(sizes, "range").withColumn("rank", rank).withColumn("sid", F.floor((F.col("rank") - 1) / config.components_per_shard).cast("int")).drop("range", "above")
+RANK_ORDER = (F.desc, "rank_score"), (F.desc, "latest_time"), (F.desc, "component_id")
+
+
+def component_bytes(index: DataFrame, members: DataFrame, links: DataFrame) -> DataFrame:
+    """(component_id, bytes): estimated size of a component's rows: 128 bytes, 48 and the texts of each member, 40 a link."""
+    own = index.select("component_id", F.lit(128).cast("bigint").alias("bytes"))
+    texts = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("title", "author", "url")), F.lit(48))
+    parts = [members.groupBy("component_id").agg(F.sum(texts).alias("bytes")), links.groupBy("component_id").agg((F.count("*") * 40).alias("bytes"))]
+    return own.unionByName(parts[0]).unionByName(parts[1]).groupBy("component_id").agg(F.sum("bytes").alias("bytes"))
+
+
+def ranked(index: DataFrame, sizes: DataFrame, config: Config = Config()) -> DataFrame:
+    """Components with rank (from 1), bytes and shard. A shard ends where, looked at after every so many components, it has the target number of them, or
+    the target bytes and a least number."""
+    with_ranks = numbered(index.join(sizes, "component_id"), tuple(order(c) for order, c in RANK_ORDER), "ranked")
+    return rotate(with_ranks, F.col("bytes"), config.look_every, config.target_bytes, config.least_components, config.components_per_shard)
+
+
+def member_order() -> tuple:
+    """Order of a component's members: strength, points, time, id, all falling."""
+    zero = F.lit(0).cast("bigint")
+    return F.desc("rel_score"), F.coalesce("score", zero).desc(), F.coalesce("time", zero).desc(), F.desc("story_id")
+
+
+def link_order() -> tuple:
+    """Order of a component's links: weight, evidence, latest time, all falling; then ids."""
+    return F.desc("weight"), F.desc("evidence_count"), F.coalesce("last_time", F.lit(0).cast("bigint")).desc(), F.asc("source_story_id"), F.asc("target_story_id")
+
+
+#: The orders that the index of components can be listed in.
+LISTINGS = {
+    "comments": (F.desc, ("comment_count", "latest_time", "component_id")),
+    "points": (F.desc, ("story_points_sum", "latest_time", "component_id")),
+    "discussions": (F.desc, ("member_count", "rank_score", "component_id")),
+    "recent": (F.desc, ("latest_day", "story_points_sum", "component_id")),
+}
+
+
+def listed(index: DataFrame, by: str, n: int) -> DataFrame:
+    """The first n components by comments, points, number of discussions, or day of the latest one and then points."""
+    order, columns = LISTINGS[by]
+    return index.withColumn("latest_day", F.floor(F.col("latest_time") / 86400)).orderBy(*(order(c) for c in columns)).limit(n).drop("latest_day")
 
 
 def backlinks(pruned: DataFrame, profile: DataFrame, limit: int = 10_000) -> DataFrame:
@@ -198,7 +235,7 @@ class Related:
         return component_links(self.parts, self.index, self.pruned)
 
     def ranked(self) -> DataFrame:
-        return ranked(self.index, self.config)
+        return ranked(self.index, component_bytes(self.index, self.members(), self.component_links()), self.config)
 
     def backlinks(self, limit: int = 10_000) -> DataFrame:
         return backlinks(self.pruned, self.profiles, limit)

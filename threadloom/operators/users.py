@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from threadloom.functions.scalar import channel, domain, month_key, user_key
-from threadloom.operators.shard import small
+from threadloom.operators.order import numbered, rotate
+from threadloom.operators.shard import in_intervals
 
 
 def _posts(items: DataFrame) -> DataFrame:
@@ -48,13 +49,35 @@ def active_users(months: DataFrame) -> DataFrame:
     return months.groupBy("month").agg(F.count("*").alias("active"))
 
 
-def user_shards(users: DataFrame, shards: int) -> DataFrame:
-    """sid of each author by ranges of the key, and each range's bounds; ranges are found by sampled quantiles, so sizes are near the target, not exact."""
-    ranked = users.repartitionByRange(shards, "user_key").withColumn("sid", F.spark_partition_id())
-    return ranked.groupBy("sid").agg(F.min("user_key").alias("user_lo"), F.max("user_key").alias("user_hi"), F.count("*").alias("users"))
+# How a shard of users is cut in the published archive.
+TARGET_BYTES, LOOK_EVERY = 15 << 20, 1000
+
+
+def user_bytes(users: DataFrame, domains: DataFrame, months: DataFrame) -> DataFrame:
+    """(user_key, bytes): estimated size of a user's rows, 128 bytes and the texts, and 16 bytes and the text a host or month."""
+    own = users.select("user_key", (F.lit(128) + F.octet_length("username") + F.coalesce(F.octet_length("max_score_title"), F.lit(0))).cast("bigint").alias("bytes"))
+    more = [df.groupBy("user_key").agg(F.sum(F.lit(16) + F.octet_length(c)).alias("bytes")) for df, c in ((domains, "domain"), (months, "month"))]
+    return own.unionByName(more[0]).unionByName(more[1]).groupBy("user_key").agg(F.sum("bytes").alias("bytes"))
+
+
+def user_shards(sizes: DataFrame, target: int = TARGET_BYTES, every: int = LOOK_EVERY) -> DataFrame:
+    """(user_key, bytes, rank, sid): users by key; a shard ends where, looked at after every so many users, it has reached the target."""
+    return rotate(numbered(sizes, (F.col("user_key"),), "users-by-key"), F.col("bytes"), every, target)
+
+
+def user_bounds(placed: DataFrame) -> DataFrame:
+    """sid, user_lo, user_hi, users and bytes of each shard."""
+    return placed.groupBy("sid").agg(F.min("user_key").alias("user_lo"), F.max("user_key").alias("user_hi"), F.count("*").alias("users"), F.sum("bytes").alias("bytes"))
+
+
+def _ordinal(key: F.Column) -> F.Column:
+    """The first seven bytes as a number that rises with the key."""
+    return F.conv(F.rpad(F.hex(F.substring(key.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
 
 
 def route_users(shards: DataFrame, names: DataFrame) -> DataFrame:
-    """(username, sid): the shard whose range of keys holds each name; ranges are disjoint."""
-    keyed = names.select("username", user_key(F.col("username")).alias("key"))
-    return keyed.join(small(shards.select("sid", "user_lo", "user_hi")), F.col("key").between(F.col("user_lo"), F.col("user_hi"))).select("username", "sid")
+    """(username, sid): the shard whose range of keys holds each name; ranges are disjoint. Keys are first compared by their leading bytes as numbers,
+    so that the join is one on equal blocks, then in full."""
+    keyed = names.select("username", user_key(F.col("username")).alias("key")).withColumn("_key", _ordinal(F.col("key")))
+    ranges = shards.select("sid", "user_lo", "user_hi", _ordinal(F.col("user_lo")).alias("_lo"), _ordinal(F.col("user_hi")).alias("_hi"))
+    return in_intervals(keyed, "_key", ranges, "_lo", "_hi").where(F.col("key").between(F.col("user_lo"), F.col("user_hi"))).select("username", "sid")

@@ -25,6 +25,15 @@ def author_range(items: DataFrame, author: str, lo: int, hi: int) -> DataFrame:
     return items.where((F.col("author") == author) & F.col("time").between(lo, hi)).orderBy(F.desc("time"))
 
 
+def author_scan(items: DataFrame, lo: str | None = None, hi: str | None = None) -> DataFrame:
+    """Items of the authors from lo on and before hi, ignoring case, by author and time."""
+    key = F.lower("author")
+    found = items.where("author is not null")
+    found = found.where(key >= F.lower(F.lit(lo))) if lo else found
+    found = found.where(key < F.lower(F.lit(hi))) if hi else found
+    return found.orderBy(key, "time", "id")
+
+
 def last_day(items: DataFrame) -> DataFrame:
     """Stories of the day before the latest item."""
     latest = items.agg(F.max("time").alias("latest"))  # one row

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from threadloom.functions import scalar, text
 from threadloom.operators import ancestors, edges, related, shard, users
 from threadloom.plans import catalog, examples
 from threadloom.plans.api import Database
-from threadloom.scratch import materialize
-from threadloom.sources import adapter, ingest
+from threadloom.scratch import materialize, scratch_path
+from threadloom.sources import adapter, ingest, sinks
 from threadloom.sources.adapter import ITEMS_SQL
 
 #: Bytes at which the test data's shards are cut; the published archive's 12 MiB would make one shard of them.
@@ -18,12 +19,24 @@ TEST_RULES = shard.CutRules(target_bytes=1 << 20, max_bytes=2 << 20, max_days=No
 _SHARED: dict = {}
 
 
-def _once(spark, sf_dir: str, name: str, make) -> DataFrame:
-    """Tables that several queries of a session read are made once."""
+def _version(spark, sf_dir: str) -> tuple:
+    """Sizes and times of the input files, so that what was made of them isn't used for others."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
+def _once(spark, sf_dir: str, name: str, make):
+    """What several queries of a session read is made once for the same files."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _SHARED:
-        _SHARED[key] = make()
-    return _SHARED[key]
+    version = _version(spark, sf_dir)
+    if key not in _SHARED or _SHARED[key][0] != version:
+        _SHARED[key] = (version, make())
+    return _SHARED[key][1]
 
 
 def _items(spark, d):
@@ -54,10 +67,37 @@ def _users(spark, d):
     return users.user_stats(_items(spark, d))
 
 
+#: Sizes of the test data's user shards.
+_USER_TARGET, _USER_EVERY = 3000, 5
+
+
+def _user_shards(spark, d):
+    """user_key, bytes, rank and sid of each author."""
+    i = _items(spark, d)
+    make = lambda: materialize(users.user_shards(users.user_bytes(_users(spark, d), users.user_domains(i), users.user_months(i)), _USER_TARGET, _USER_EVERY), "user-shards")
+    return _once(spark, d, "user-shards", make)
+
+
 def _route_users(spark, d):
-    """Each author's shard, found again from the name: every name must come back once."""
-    u = _once(spark, d, "users", lambda: materialize(_users(spark, d).select("user_key", "username"), "users"))
-    return users.route_users(materialize(users.user_shards(u, 4), "user-shards"), u.select("username")).select("username")
+    """Each author's shard, found again from the name as another one spells it."""
+    placed = _user_shards(spark, d)
+    return users.route_users(users.user_bounds(placed), placed.select(F.upper("user_key").alias("username"))).withColumnRenamed("username", "user")
+
+
+def _archive(spark, d):
+    """Items as published shards, and their sorted bounds as a client holds them."""
+
+    def make():
+        path = scratch_path(spark, "archive")
+        sinks.write_shards(_sharded(spark, d), path)
+        return path, sorted((r.id_lo, r.id_hi, r.sid) for r in _bounds(spark, d).collect())
+
+    return _once(spark, d, "archive", make)
+
+
+def _point(spark, d):
+    path, bounds = _archive(spark, d)
+    return sinks.look_up(spark, path, bounds, _POINT).drop("sid")
 
 
 def _related(spark, d):
@@ -186,10 +226,65 @@ component_index as materialized (select m.component_id, any_value(root_story_id)
 """
 
 
+#: Rotation of the test data's component shards.
+_ROTATE = related.Config(components_per_shard=40, target_bytes=12_000, least_components=15, look_every=10)
+
+
+def _ranked(spark, d):
+    r = _related(spark, d)
+    return related.ranked(r.index, related.component_bytes(r.index, r.members(), r.component_links()), _ROTATE).select("component_id", "rank", "bytes", "sid")
+
+
+def _places(df: DataFrame, order: tuple, *ids: str) -> DataFrame:
+    return df.withColumn("place", F.row_number().over(Window.partitionBy("component_id").orderBy(*order))).select("component_id", *ids, "place")
+
+
+def _rotation_sql(source: str, size: str, every: int, target: int, least: int, most: int) -> str:
+    """placed-like common table expressions: source (with rank) with sid, by the greedy rule over blocks."""
+    return f"""blocks as (select (rank - 1) // {every} as block, count(*) as n, sum({size}) as held from {source} group by 1),
+walk as (with recursive w as (select cast(0 as bigint) as block, cast(0 as bigint) as sid, n, held from blocks where block = 0
+    union all select b.block, w.sid + cast(w.n >= {most} or (w.held >= {target} and w.n >= {least}) as bigint),
+        case when w.n >= {most} or (w.held >= {target} and w.n >= {least}) then b.n else w.n + b.n end, case when w.n >= {most} or (w.held >= {target} and w.n >= {least}) then b.held else w.held + b.held end
+    from w join blocks b on b.block = w.block + 1) select block, cast(sid as integer) as sid from w)"""
+
+
+_USER_SHARDS_SQL = f""", user_sizes as (select user_key, 128 + strlen(username) + coalesce(strlen(max_score_title), 0)
+    + coalesce((select sum(16 + strlen(domain)) from user_domains d where d.user_key = u.user_key), 0) + coalesce((select sum(16 + strlen(month)) from user_months m where m.user_key = u.user_key), 0) as bytes from users u),
+ranks as (select *, row_number() over (order by user_key) as rank from user_sizes),
+{_rotation_sql("ranks", "bytes", _USER_EVERY, _USER_TARGET, 0, 1 << 60)},
+placed as (select r.*, walk.sid from ranks r join walk on walk.block = (r.rank - 1) // {_USER_EVERY})
+"""
+
+_STRENGTH_SQL = """, strong as (select component_id, story_id, time, score, (select coalesce(sum(weight), 0) from (select source_story_id as x, weight from pruned union all select target_story_id, weight from pruned) where x = story_id) as rel_score from member)
+"""
+
+_RANKED_SQL = f""", own_sizes as (select m.component_id, 128 + sum(48 + coalesce(strlen(title), 0) + coalesce(strlen(author), 0) + coalesce(strlen(url), 0)) as own from member m group by 1),
+counted as (select p.component_id, 40 * count(*) as links from pruned join parts p on p.story_id = source_story_id group by 1),
+ranks as (select c.component_id, row_number() over (order by rank_score desc, latest_time desc, c.component_id desc) as rank, cast(s.own + coalesce(l.links, 0) as bigint) as bytes
+    from component_index c join own_sizes s using (component_id) left join counted l using (component_id)),
+{_rotation_sql("ranks", "bytes", _ROTATE.look_every, _ROTATE.target_bytes, _ROTATE.least_components, _ROTATE.components_per_shard)},
+rotated as (select r.*, walk.sid from ranks r join walk on walk.block = (r.rank - 1) // {_ROTATE.look_every})
+"""
+
+#: The days, rows and bytes after which test shards end where all rules are tried.
+_DAY_RULES = shard.CutRules(target_bytes=8 << 20, max_bytes=16 << 20, max_rows=3000, max_days=2)
+_DAY_SQL = f""", numbered as materialized (select id, time, row_number() over (order by id) as rn, sum(80 + length(coalesce(author, '')) + length(coalesce(title, '')) + length(coalesce(text, '')) + length(coalesce(url, ''))) over (order by id) as cum from items),
+cuts as (with recursive w as (select cast(-1 as bigint) as sid, cast(0 as bigint) as upto
+    union all select w.sid + 1, (
+      select coalesce(min(x.rn), (select max(rn) from numbered)) from (
+        select n.rn, n.cum, list(n.time) filter (where n.time is not null) over (order by n.rn) as ts from numbered n where n.rn > w.upto and n.rn <= w.upto + {_DAY_RULES.max_rows}) x
+      where x.cum - coalesce((select cum from numbered z where z.rn = w.upto), 0) >= {_DAY_RULES.target_bytes} or x.rn - w.upto >= {_DAY_RULES.max_rows}
+        or (len(x.ts) > 0 and (list_max(x.ts) - list_min(x.ts)) // 86400 >= {_DAY_RULES.max_days}
+          and (len(x.ts) < {_DAY_RULES.robust_from} or (list_sort(x.ts)[cast(floor((len(x.ts) - 1) * cast({_DAY_RULES.high} as double)) as bigint) + 1] - list_sort(x.ts)[cast(floor((len(x.ts) - 1) * cast({_DAY_RULES.low} as double)) as bigint) + 1]) // 86400 >= {_DAY_RULES.max_days})))
+    from w where w.upto < (select max(rn) from numbered)) select * from w)
+select cast(a.sid as integer) as sid, min(n.id) as id_lo, max(n.id) as id_hi from cuts a join numbered n on n.rn <= a.upto and n.rn > (select b.upto from cuts b where b.sid = a.sid - 1) where a.sid >= 0 group by a.sid
+"""
+
+
 def _fn_spark(spark, d):
     i = _items(spark, d)
     return i.select(
-        "id", scalar.domain(F.col("url")).alias("host"), scalar.month_key(F.col("time")).alias("month"), scalar.day_end(F.col("time")).alias("day_end"), scalar.channel(F.col("type"), F.col("title")).alias("channel"),
+        "id", scalar.domain(F.col("url")).alias("host"), scalar.month_key(F.col("time")).alias("month"), scalar.day_end(F.col("time")).alias("day_end"), scalar.iso_time(F.col("time")).alias("iso"), scalar.channel(F.col("type"), F.col("title")).alias("channel"),
         scalar.user_key(F.col("author")).alias("user_key"), scalar.short_hash(F.coalesce("text", F.lit(""))).alias("hash"), text.raw_bytes().alias("raw_bytes"), F.length(text.flatten(F.col("text"))).cast("bigint").alias("flat_chars"),
         F.round(scalar.span_days(F.col("parent"), F.col("id")), 6).alias("span_days"), scalar.human_delta(F.col("id") * 37 - 100000).alias("delta"),
     )
@@ -201,7 +296,7 @@ def _hundredths(unit: int) -> str:
 
 
 _FN_SQL = rf"""with {ITEMS_SQL}
-select id, {_DOMAIN} as host, case when nullif(time, 0) is not null then {_MONTH} end as month, time // 86400 * 86400 + 86399 as day_end,
+select id, {_DOMAIN} as host, case when nullif(time, 0) is not null then {_MONTH} end as month, time // 86400 * 86400 + 86399 as day_end, coalesce(strftime(make_timestamp(time * 1000000), '%Y-%m-%dT%H:%M:%SZ'), 'n/a') as iso,
   case when type = 'job' then 'jobs' when type <> 'story' then null when title ilike 'ask hn:%' then 'ask' when title ilike 'show hn:%' then 'show' when title ilike 'launch hn:%' then 'launch' else 'story' end as channel,
   lower(trim(coalesce(author, ''))) as user_key, left(sha256(text), 12) as hash,
   80 + length(coalesce(author, '')) + length(coalesce(title, '')) + length(text) + length(coalesce(url, '')) as raw_bytes,
@@ -213,7 +308,7 @@ from items"""
 
 _WIDE = related.Config(min_edge_weight=0.05, max_edges_per_source=2)
 _RANGE = "author = 'user7' and time between 1704240000 and 1705881600"
-_POINT = 4242
+_POINT, _PARENT = 4242, 1
 
 
 def _entries() -> dict:
@@ -231,9 +326,10 @@ def _entries() -> dict:
         "src8_export": (lambda s, d: ingest.exportable(i(s, d).withColumn("deleted", (F.col("id") % 13 == 0).cast("int"))), plain + "select * from items where not id % 13 = 0"),
         "prj_scalar_functions": (_fn_spark, _FN_SQL),
         "flt1_with_parent": (lambda s, d: edges.with_parent(i(s, d)).select("id", "parent"), plain + "select id, parent from items where parent is not null and parent <> 0"),
-        "flt7_point_lookup": (lambda s, d: catalog.item(i(s, d), _POINT), plain + f"select * from items where id = {_POINT}"),
+        "flt7_point_lookup": (_point, plain + f"select * from items where id = {_POINT}"),
         "flt7_user_lookup": (lambda s, d: catalog.user(_users(s, d).drop("avg_score"), "USER7"), us + "select * from users where user_key = 'user7'"),
-        "flt7_children": (lambda s, d: catalog.children(e(s, d), 100), sh + "select * from edges where parent_id = 100"),
+        "flt7_children": (lambda s, d: catalog.children(e(s, d), _PARENT), sh + f"select * from edges where parent_id = {_PARENT}"),
+        "src11_author_scan": (lambda s, d: catalog.author_scan(i(s, d).select("id", "author", "time"), "USER2", "user30"), plain + "select id, author, time from items where lower(author) >= 'user2' and lower(author) < 'user30'"),
         "flt8_author_range": (lambda s, d: catalog.author_range(i(s, d), "user7", 1704240000, 1705881600), plain + f"select * from items where {_RANGE}"),
         "flt9_last_day": (lambda s, d: catalog.last_day(i(s, d)), plain + "select * from items where type = 'story' and time >= (select max(time) from items) - 86400"),
         "flt10_ask": (lambda s, d: catalog.titled(i(s, d), "Ask HN:").select(short), plain + "select id, title, author, time, score from items where type = 'story' and title ilike 'Ask HN:%'"),
@@ -252,10 +348,11 @@ def _entries() -> dict:
         "usr1_user_stats": (lambda s, d: _rounded(_users(s, d), "avg_score"), us + "select *, round(sum_score / cast(items as double), 9) as avg_score from users"),
         "usr2_user_domains": (lambda s, d: users.user_domains(i(s, d)), us + "select * from user_domains"),
         "usr3_user_months": (lambda s, d: users.user_months(i(s, d)), us + "select * from user_months"),
-        "usr4_user_shards": (lambda s, d: users.user_shards(_users(s, d).select("user_key"), 4).agg(F.min("user_lo").alias("lo"), F.max("user_hi").alias("hi"), F.sum("users").alias("users")), us + "select min(user_key) as lo, max(user_key) as hi, count(*) as users from users"),
+        "usr4_user_shards": (lambda s, d: users.user_bounds(_user_shards(s, d)), us + _USER_SHARDS_SQL + "select sid, min(user_key) as user_lo, max(user_key) as user_hi, count(*) as users, cast(sum(bytes) as bigint) as bytes from placed group by sid"),
         "g1_user_growth": (lambda s, d: users.user_growth(_users(s, d)), us + "select month, new_users, cast(sum(new_users) over (order by month) as bigint) as total_users from (select strftime(make_timestamp(first_time * 1000000), '%Y-%m') as month, count(*) as new_users from users where first_time is not null group by 1)"),
         "g2_active_users": (lambda s, d: users.active_users(users.user_months(i(s, d))), us + "select month, count(*) as active from user_months group by month"),
         "shard_bounds": (_bounds, sh + "select * from bounds"),
+        "shard_day_rule": (lambda s, d: shard.shard_bounds(_items(s, d), _DAY_RULES), f"with {ITEMS_SQL}" + _DAY_SQL),
         "man1_manifest": (m, sh + "select * from manifest"),
         "arc1_posts_comments": (lambda s, d: m(s, d).select("sid", "count", "posts", "comments"), sh + "select sid, count, posts, comments from manifest"),
         "arc2_effective_time": (lambda s, d: m(s, d).select("sid", "tmin_eff", "tmax_eff", "time_null"), sh + "select sid, tmin_eff, tmax_eff, time_null from manifest"),
@@ -265,7 +362,7 @@ def _entries() -> dict:
         "joi4_route_times": (lambda s, d: shard.route_times(m(s, d), 1704672000, 1705276800).select("sid"), sh + "select sid from manifest where tmin_eff <= 1705276800 and tmax_eff >= 1704672000"),
         "joi5_cross_links": (_cross, sh + "select * from crossing"),
         "cli6_skipped_edges": (lambda s, d: edges.skipped(e(s, d), _bounds(s, d), i(s, d)).select("parent_id", "child_id", "parent_sid", "child_sid", "seconds"), sh + "select e.parent_id, e.child_id, b.sid as parent_sid, e.sid as child_sid, c.time - p.time as seconds from edges e join bounds b on e.parent_id between b.id_lo and b.id_hi and b.sid <> e.sid join items p on p.id = e.parent_id join items c on c.id = e.child_id"),
-        "joi3_route_users": (_route_users, us + "select username from users"),
+        "joi3_route_users": (_route_users, us + _USER_SHARDS_SQL + "select upper(user_key) as user, sid from placed"),
         "api1_bound_sql": (lambda s, d: Database(s, items=i(s, d)).query("select type, count(*) as n from {items} where score > :low group by type", {"low": 100}), plain + "select type, count(*) as n from items where score > 100 group by type"),
         "crs1_cross_counts": (lambda s, d: _cross(s, d).agg(F.count("*").alias("links"), F.countDistinct("parent_id").alias("parents")), sh + "select count(*) as links, count(distinct parent_id) as parents from crossing"),
         "crs2_compressed_rows": (lambda s, d: edges.compressed_rows(_cross(s, d)).select("parent_id", F.array_join("sids", ",").alias("sids"), "offset"), sh + "select parent_id, string_agg(shard_sid, ',' order by shard_sid) as sids, cast(sum(count(*)) over (order by parent_id) - count(*) as bigint) as offset from crossing group by parent_id"),
@@ -288,8 +385,13 @@ def _entries() -> dict:
         "rnkl_legacy_rank": (lambda s, d: _rounded(related.component_index(_related(s, d).parts, _related(s, d).pruned, _related(s, d).profiles, _related(s, d).totals, related.Config(rank_model="legacy")), "rank_score").select("component_id", "rank_score"), rel + "select component_id, round(max_story_score * cast(0.7 as double) + latest_time * cast(0.000001 as double) * cast(0.3 as double) + member_count * 2 + edge_count * cast(0.5 as double), 9) as rank_score from component_index"),
         "relm_members": (lambda s, d: _rounded(_related(s, d).members(), "rel_score"), rel + "select component_id, story_id, round((select coalesce(sum(weight), 0) from (select source_story_id as x, weight from pruned union all select target_story_id, weight from pruned) where x = story_id), 9) as rel_score, title, author, time, score, url from member"),
         "rell_links": (lambda s, d: _rounded(_related(s, d).component_links(), "weight"), rel + "select source_story_id, target_story_id, round(weight, 9) as weight, evidence_count, last_time, component_id from pruned join parts on parts.story_id = source_story_id"),
-        "snk12_ranked": (lambda s, d: _related(s, d).ranked().select("component_id", F.col("rank").cast("bigint").alias("rank"), "sid"), rel + "select component_id, row_number() over (order by rank_score desc, latest_time desc, component_id desc) as rank, 0 as sid from component_index"),
-        "srt4_by_discussions": (lambda s, d: catalog.top(_related(s, d).index.select("component_id", "member_count", "rank_score"), [F.desc("member_count"), F.desc("rank_score"), "component_id"], 25), rel + "select component_id, member_count, rank_score from component_index order by member_count desc, rank_score desc, component_id limit 25"),
+        "snk12_ranked": (_ranked, rel + _RANKED_SQL + "select component_id, rank, bytes, sid from rotated"),
+        "srt2_member_order": (lambda s, d: _places(_related(s, d).members(), related.member_order(), "story_id"), rel + _STRENGTH_SQL + "select component_id, story_id, cast(row_number() over (partition by component_id order by rel_score desc, coalesce(score, 0) desc, coalesce(time, 0) desc, story_id desc) as integer) as place from strong"),
+        "srt2_link_order": (lambda s, d: _places(_related(s, d).component_links(), related.link_order(), "source_story_id", "target_story_id"), rel + "select component_id, source_story_id, target_story_id, cast(row_number() over (partition by component_id order by weight desc, evidence_count desc, coalesce(last_time, 0) desc, source_story_id, target_story_id) as integer) as place from pruned join parts on parts.story_id = source_story_id"),
+        "srt4_by_comments": (lambda s, d: related.listed(_related(s, d).index, "comments", 25).select("component_id", "comment_count"), rel + "select component_id, comment_count from component_index order by comment_count desc, latest_time desc, component_id desc limit 25"),
+        "srt4_by_points": (lambda s, d: related.listed(_related(s, d).index, "points", 25).select("component_id", "story_points_sum"), rel + "select component_id, story_points_sum from component_index order by story_points_sum desc, latest_time desc, component_id desc limit 25"),
+        "srt4_by_discussions": (lambda s, d: related.listed(_related(s, d).index, "discussions", 25).select("component_id", "member_count"), rel + "select component_id, member_count from component_index order by member_count desc, rank_score desc, component_id desc limit 25"),
+        "srt4_by_recent": (lambda s, d: related.listed(_related(s, d).index, "recent", 25).select("component_id", "latest_time"), rel + "select component_id, latest_time from component_index order by latest_time // 86400 desc, story_points_sum desc, component_id desc limit 25"),
         "srt5_timeline": (lambda s, d: catalog.timeline(_related(s, d).members()), rel + "select component_id, story_id, cast(row_number() over (partition by component_id order by t // 86400, s desc, story_id) as integer) as n from member"),
         "flt11_years": (lambda s, d: catalog.in_years(_related(s, d).index, 2024, 1999).select("component_id"), rel + "select component_id from component_index where years_csv like '%2024%' or years_csv like '%1999%'"),
         "bkl_backlinks": (lambda s, d: _related(s, d).backlinks(), rel + "select cast(row_number() over (order by incoming_link_count desc, coalesce(score, 0) desc, coalesce(time, 0) desc, story_id desc) as integer) as rank, story_id, title, author, time, score, url, incoming_link_count from incoming join profile using (story_id)"),

@@ -41,4 +41,9 @@ items as materialized (select {_COLUMNS} from ev cross join sizes left join docu
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, type, author, time, score, title, text, url, parent."""
     tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("events", "documents", "pages")}
+    # rows of one small file are dealt to all cores before they are joined to texts, as the work on texts comes after the join; a scan of many
+    # splits is left as it is
+    cores = spark.sparkContext.defaultParallelism
+    if tables["events"].rdd.getNumPartitions() < cores:
+        tables["events"] = tables["events"].repartition(cores, "event_id")
     return spark.sql(_SPARK, **tables)

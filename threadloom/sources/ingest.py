@@ -15,7 +15,7 @@ def safe_int(raw: Column, missing_as_zero: Column | None = None) -> Column:
 
     missing_as_zero: where true, an empty or null value counts as 0 (the archive build's rule; the link build's is null)."""
     number = F.coalesce(raw.try_cast("bigint"), raw.try_cast("double").try_cast("bigint"))
-    return number if missing_as_zero is None else F.when(missing_as_zero & (raw.isNull() | (F.trim(raw) == "")), F.lit(0).cast("bigint")).otherwise(number)
+    return number if missing_as_zero is None else F.when(F.coalesce(missing_as_zero, F.lit(False)) & (raw.isNull() | (F.trim(raw) == "")), F.lit(0).cast("bigint")).otherwise(number)
 
 
 def truthy(raw: Column) -> Column:
@@ -27,17 +27,23 @@ def read_lines(spark: SparkSession, folder: str, pattern: str = "*.json.gz") ->
     return spark.read.option("pathGlobFilter", pattern).text(folder).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"))
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
-    """Items of lines (value, file, place): every field read as a string and converted with tolerance; blank and unreadable lines and rows without a numeric id go."""
-    parsed = lines.where(F.trim("value") != "").select(F.from_json("value", _SCHEMA, {"mode": "PERMISSIVE"}).alias("j"), "file", "place")
+def parse_lines(lines: DataFrame, empty_as_zero: bool = False) -> DataFrame:
+    """Items of lines (value, file, place): every field read as a string and converted with tolerance; blank and unreadable lines and rows without a numeric id go.
+
+    empty_as_zero: times, scores and parents that a line has as null or as an empty string are 0, and null only where the line doesn't have them
+    (what archives are built from); else all of these are null (what links are built from)."""
+    parsed = lines.where(F.trim("value") != "").select(F.from_json("value", _SCHEMA, {"mode": "PERMISSIVE"}).alias("j"), F.json_object_keys("value").alias("names") if empty_as_zero else F.lit(None).alias("names"), "file", "place")
     j = F.col("j")
 
+    def number(name: str) -> Column:
+        return safe_int(j[name], F.array_contains("names", name) if empty_as_zero else None)
+
     def text(name: str) -> Column:
         return F.nullif(j[name], F.lit(""))
 
     return parsed.select(
-        safe_int(j["id"]).alias("id"), safe_int(j["time"]).alias("time"), text("type").alias("type"), text("by").alias("author"), text("title").alias("title"), text("text").alias("text"),
-        text("url").alias("url"), safe_int(j["score"]).alias("score"), safe_int(j["parent"]).alias("parent"), truthy(j["dead"]).alias("dead"), truthy(j["deleted"]).alias("deleted"),
+        safe_int(j["id"]).alias("id"), number("time").alias("time"), text("type").alias("type"), text("by").alias("author"), text("title").alias("title"), text("text").alias("text"),
+        text("url").alias("url"), number("score").alias("score"), number("parent").alias("parent"), truthy(j["dead"]).alias("dead"), truthy(j["deleted"]).alias("deleted"),
         F.transform(j["kids"], lambda k: safe_int(k)).alias("kids"), safe_int(j["descendants"]).alias("descendants"), "file", "place",
     ).where("id is not null")
 
@@ -49,9 +55,9 @@ def latest(items: DataFrame) -> DataFrame:
     return best.select("id", *[F.col("row")[c].alias(c) for c in payload])
 
 
-def ingest(spark: SparkSession, folder: str, presorted: bool = False) -> DataFrame:
+def ingest(spark: SparkSession, folder: str, presorted: bool = False, empty_as_zero: bool = False) -> DataFrame:
     """The dump's items; presorted dumps have no id twice and skip the aggregate."""
-    parsed = parse_lines(read_lines(spark, folder))
+    parsed = parse_lines(read_lines(spark, folder), empty_as_zero)
     return parsed.drop("file", "place") if presorted else latest(parsed)
 
 
