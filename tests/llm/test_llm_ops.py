@@ -95,6 +95,16 @@ def test_minhash_repeated_ids(spark):
     assert sorted(r.n_shingles for r in out) == sorted(40 if t.endswith("end") else 39 if t else 0 for _, t in rows)
 
 
+def test_probability_of_a_lost_link():
+    """What the docstring says of pairs at the threshold: no band in common, or too few equal coordinates."""
+    from math import comb
+
+    s = 0.8
+    assert (1 - s**minhash.ROWS) ** minhash.BANDS < 3e-6
+    few = sum(comb(minhash.K, k) * s**k * (1 - s) ** (minhash.K - k) for k in range(round(minhash.LEAST * minhash.K)))
+    assert few < 3e-6
+
+
 def test_circulant_signature_estimates_jaccard():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
@@ -201,6 +211,16 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id) for r in found) == [(0, 7), (1, 2)]
 
 
+def test_items_without_id_and_blocks_of_the_filter(spark, monkeypatch):
+    items = [(i if i > 1 else (None, -1)[i], " ".join(f"i{i}w{j}" for j in range(20)) + ". yes it is.") for i in range(12)] + [(5, " ".join(f"again{j}" for j in range(20)) + ". yes it is.")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [items[0][1], items[1][1], items[12][1], "nothing " * 30, None, items[7][1]]
+    for size in (1 << 20, 200):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+        assert sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, texts), benchmark).collect()) == [(0, None), (1, -1), (2, 5), (5, 7)]
+        assert sorted(r.doc_id for r in decontaminate.without_benchmark(docs(spark, texts), benchmark).collect()) == [3, 4]
+
+
 def test_blocks_score_as_one_index(spark, monkeypatch):
     random.seed(12)
     items = [(i, " ".join(random.choice([f"v{int(random.expovariate(0.05))}", f"i{i}w{j}"]) for j in range(random.randint(20, 90))) + ". yes it is.") for i in range(30)] + [(99, None)]

@@ -13,13 +13,13 @@ runs on the passages where some segment passes.
 Verification, on the whole text: the item is split into question and answer (its last sentence); both must have at least
 ``OVERLAP`` of their 5-word shingles in the text.
 
-The benchmark's size is checked: beyond ``BLOCK_BYTES`` it is dealt into blocks by hash of item_id, each
-with an index of its own, and every passage queries them all. The number of segments, their mean length and the number of
+The benchmark's size is checked: beyond ``BLOCK_BYTES`` it is dealt into blocks by hash, one after the other indexed, sent and dropped
+again, and every passage queries them all. The number of segments, their mean length and the number of
 segments of each term are counted over all items, so weights and scores are those of one index.
 
 Terms are words in lower case without punctuation at their ends. Defined cases: null and empty texts and items without a term match
 nothing; items of one sentence, and items whose last sentence is all they have, are question and answer at once; repeated
-rows and items are reported each; an empty table gives no rows; further columns are ignored.
+rows and items are reported each; items without item_id are reported with none; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import materialize, prepare, table
+from threadloom.llm.common import materialize, prepare, release, table
 
 K1, B = 1.2, 0.75
 SEGMENT_WORDS, PASSAGE_WORDS = 64, 128
@@ -299,38 +299,59 @@ def _count_terms(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.int64(), pa.int64()))], names=["block", "term", "n", "words"])
 
 
-def _blocks(spark, benchmark: DataFrame):
-    """The items, broadcast in blocks of a checked size, each with the counts over all items of the block's terms."""
-    prepare(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    n = max(1, math.ceil(2 * size / BLOCK_BYTES)) if size > BLOCK_BYTES else 1
-    run = uuid.uuid4().hex
-    place = F.pmod(F.xxhash64("item_id"), F.lit(n))
-    if n > 1:
-        by_block = materialize(items.select(place.alias("block"), "text").mapInArrow(_count_terms, "block long, term string, n long, words long").groupBy("block", "term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "block-terms")
-        over_all = materialize(by_block.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "terms")
-        total = over_all.where("term = ''").first()
-    for block in range(n):
-        part = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in items.where(place == block).collect())
-        counts = None
-        if n > 1 and total:
-            # no more terms than the block's bytes hold
-            own = over_all.join(by_block.where(F.col("block") == block).select("term"), "term", "left_semi").where("term <> ''")
-            counts = (total.n, total.words, {r.term: r.n for r in own.select("term", "n").collect()})
-        yield spark.sparkContext.broadcast(((run, block), part, counts))
+class _Blocks:
+    """The items in blocks of a checked size, each with the counts over all items of the block's terms. One block is on the driver at a time."""
+
+    def __init__(self, spark, benchmark: DataFrame) -> None:
+        prepare(spark)
+        self.spark, self.run = spark, uuid.uuid4().hex
+        self.items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        size = self.items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+        self.n = max(1, math.ceil(2 * size / BLOCK_BYTES)) if size > BLOCK_BYTES else 1
+        # several texts of one item_id are dealt each by itself
+        place = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.n))
+        if self.n > 1:
+            self.items = materialize(self.items.withColumn("block", place), "benchmark")
+            self.by_block = materialize(self.items.select(F.col("block").cast("long").alias("block"), "text").mapInArrow(_count_terms, "block long, term string, n long, words long").groupBy("block", "term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "block-terms")
+            self.over_all = materialize(self.by_block.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "terms")
+            self.total = self.over_all.where("term = ''").first()
+
+    def share(self, block: int):
+        """Broadcasts a block; its items and terms are no more than its bytes hold."""
+        own, counts = self.items, None
+        if self.n > 1:
+            own = own.where(F.col("block") == block)
+            if self.total:
+                terms = self.over_all.join(self.by_block.where(F.col("block") == block).select("term"), "term", "left_semi").where("term <> ''")
+                counts = (self.total.n, self.total.words, {r.term: r.n for r in terms.select("term", "n").collect()})
+        part = sorted(((r.item_id, r.text) for r in own.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        return self.spark.sparkContext.broadcast(((self.run, block), part, counts))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """A row for each row of docs (doc_id, text) and item that it holds."""
+    """A row for each row of docs (doc_id, text) and item that it holds. Documents are read once for each block of the benchmark."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = [rows.mapInArrow(_match(shared), MATCHES) for shared in _blocks(docs.sparkSession, benchmark)]
+    blocks, parts = _Blocks(docs.sparkSession, benchmark), []
+    if blocks.n == 1:
+        return rows.mapInArrow(_match(blocks.share(0)), MATCHES)
+    for block in range(blocks.n):
+        shared = blocks.share(block)
+        parts.append(materialize(rows.mapInArrow(_match(shared), MATCHES), "matches"))
+        shared.destroy()
     return reduce(DataFrame.unionByName, parts)
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that hold no item, with all columns; a filter of map tasks alone."""
-    return reduce(lambda df, shared: df.mapInArrow(_keep(shared), docs.schema), _blocks(docs.sparkSession, benchmark), docs)
+    """The rows of docs that hold no item, with all columns; a filter of map tasks alone, written after each block but the last."""
+    blocks, out, before = _Blocks(docs.sparkSession, benchmark), docs, None
+    for block in range(blocks.n - 1):
+        shared = blocks.share(block)
+        out = materialize(out.mapInArrow(_keep(shared), docs.schema), "decontaminated")
+        shared.destroy()
+        if before is not None:
+            release(before)
+        before = out
+    return out.mapInArrow(_keep(blocks.share(blocks.n - 1)), docs.schema)
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
