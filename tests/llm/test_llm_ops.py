@@ -1,5 +1,6 @@
 """Each operator on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, further columns; against brute force."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -276,6 +277,31 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.resolve_revisits(warc.read_archives(spark, str(tmp_path / "none"))).count() == 0
 
 
+def test_warc_archives_of_others(spark, tmp_path):
+    bodies = ["", "\r\n", "a\r\n", "\r\n\r\n", "b\r\n\r\n\r\n\r\n", "c\r", "\nd", "é\r\n\r\nWARC/1.1\r\n\r\n", "e" * 100_000]
+    spark.createDataFrame(list(enumerate(bodies)), "page_id long, html string").withColumn("url", F.lit("u")).repartition(4).transform(lambda p: warc.write_archives(p, str(tmp_path / "own")) or p)
+    assert {r.page_id: bytes(r.payload).decode() for r in warc.read_archives(spark, str(tmp_path / "own")).collect()} == dict(enumerate(bodies))
+    records = [f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nContent-Length: {len(b.encode()) + 4}\r\n\r\n\r\n\r\n{b}\r\n\r\n".encode() for i, b in enumerate(bodies)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "members.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    (tmp_path / "in" / "plain.warc").write_bytes(b"".join(records))
+    read = warc.read_archives(spark, str(tmp_path / "in")).collect()
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in read) == sorted(2 * list(enumerate(bodies)))
+    (tmp_path / "in" / "cut.warc.gz").write_bytes(gzip.compress(records[-1][:-6]))
+    with pytest.raises(Exception, match="cut off"):
+        warc.read_archives(spark, str(tmp_path / "in")).collect()
+
+
+def test_warc_record_ids(spark, tmp_path):
+    rows = [(1, "x" * 200), (1, "y" * 200), (2, "x" * 200), (3, "y" * 200), (None, "x" * 200), (None, "z")]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit("u")), str(tmp_path / "ids"))
+    archives = [f.read_bytes() for f in (tmp_path / "ids").glob("*.gz")]
+    heads = [h for a in archives for h, _ in warc.parse_records(a)]
+    responses = {h["warc-record-id"]: h["warc-payload-digest"] for h in heads if h["warc-type"] == "response"}
+    assert len({h["warc-record-id"] for h in heads}) == len(rows)
+    assert sum(h["warc-type"] == "revisit" and responses[h["warc-refers-to"]] == h["warc-payload-digest"] for h in heads) == 2
+
+
 def test_warc_rejects_cut_archives():
     record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     assert [b for _, b in warc.parse_records(record * 2)] == [b"hello"] * 2

@@ -7,18 +7,23 @@ so a digest that a third of all records share is one row a task. ``write_archive
 decisions of repeated digests to the records (broadcast only if their counted size is below the
 bound) and writes archives through Spark's text writer: the record separator of WARC (two CRLF) is
 its line separator, so the files are ordinary WARC/1.1, on any file system Spark writes to, under
-its commit protocol. ``read_archives`` parses archives by Content-Length, streaming, and
-``resolve_revisits`` joins revisits to the responses they refer to.
+its commit protocol. ``read_archives`` streams gzip files, of one member or many, through Spark's text reader, cut at the same
+separator, and puts the pieces together again by Content-Length: a task holds a batch of pieces and one record, whatever the
+size of its file. ``resolve_revisits`` joins revisits to the responses they refer to. A record's id is made of page_id and payload digest.
+Spark's writer makes one gzip member a file, so a record can't be read without those before it.
 
 Defined cases: null or empty payload: a response of no bytes; null url: no target; rows without a
-page_id are always responses and never referred to; repeated rows of one page_id and payload are
-all responses; an empty table gives no records; further columns are ignored.
+page_id are always responses, have a random record id and are never referred to; repeated rows of one page_id and payload are
+all responses and share a record id; an empty table gives no records; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterable
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 from threadloom.llm.common import broadcast_if_small, materialize, scratch_path, table
 
 CRLF = "\r\n"
+_SEPARATOR = b"\r\n\r\n"
 DIGEST_PREFIX = "sha256:"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 WARC_DATE = "2024-01-01T00:00:00Z"
@@ -63,7 +69,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
     block = F.when(F.col("revisit"), F.lit("")).otherwise(F.concat(http, F.col("payload")))
 
     def identity(c: str) -> F.Column:
-        return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(">"))
+        return F.coalesce(F.concat(F.lit("<urn:page:"), F.col(c).cast("string"), F.lit(":"), F.col("digest"), F.lit(">")), F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))
 
     head = F.concat(
         F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.when(F.col("revisit"), F.lit("revisit")).otherwise(F.lit("response")),
@@ -91,9 +97,9 @@ def _members(content: bytes):
         rest = unzip.unused_data
 
 
-def parse_records(content: bytes):
-    """(headers by lower-case name, block) of each record; a cut or malformed record is an error."""
-    buffer, pieces = bytearray(), _members(content)
+def parse_records(archive: bytes | Iterable[bytes]):
+    """(headers by lower-case name, block) of each record of an archive, whole or in pieces; a cut or malformed record is an error."""
+    buffer, pieces = bytearray(), _members(archive) if isinstance(archive, bytes) else iter(archive)
 
     def fill(n: int) -> bool:
         while len(buffer) < n:
@@ -104,6 +110,8 @@ def parse_records(content: bytes):
         return True
 
     while True:
+        while fill(2) and buffer[:2] == b"\r\n":  # empty lines between records
+            del buffer[:2]
         while (end := buffer.find(b"\r\n\r\n")) < 0:
             if not fill(len(buffer) + 1):
                 if bytes(buffer).strip():
@@ -121,7 +129,7 @@ def parse_records(content: bytes):
 
 
 def _page(identity: str | None) -> int | None:
-    number = (identity or "").removeprefix("<urn:page:").rstrip(">")
+    number = (identity or "").removeprefix("<urn:page:").partition(":")[0].rstrip(">")
     return int(number) if number.lstrip("-").isdigit() else None
 
 
@@ -134,26 +142,47 @@ def _record(headers: dict, block: bytes, with_payload: bool) -> dict:
     return out | {"content_digest": hashlib.sha256(payload).hexdigest(), "payload_bytes": len(payload), "payload": payload if with_payload else None}
 
 
-def _parse(with_payload: bool):
-    def parse(batches):
-        for batch in batches:
-            for content in batch.column(0):
-                rows, held = [], 0
-                for headers, block in parse_records(content.as_py()):
-                    rows.append(_record(headers, block, with_payload))
-                    held += len(block) if with_payload else 0
-                    if len(rows) >= 2000 or held >= 8 << 20:
-                        yield pa.RecordBatch.from_pylist(rows, schema=_RECORD_SCHEMA)
-                        rows, held = [], 0
+def _rows(archives, with_payload: bool):
+    """Batches of the records of some archives, each whole or in pieces."""
+    rows, held = [], 0
+    for archive in archives:
+        for headers, block in parse_records(archive):
+            rows.append(_record(headers, block, with_payload))
+            held += len(block) if with_payload else 0
+            if len(rows) >= 2000 or held >= 8 << 20:
                 yield pa.RecordBatch.from_pylist(rows, schema=_RECORD_SCHEMA)
+                rows, held = [], 0
+    yield pa.RecordBatch.from_pylist(rows, schema=_RECORD_SCHEMA)
+
+
+def _parse_whole(with_payload: bool):
+    """Archives as (content)."""
+
+    def parse(batches):
+        yield from _rows((content.as_py() for batch in batches for content in batch.column(0)), with_payload)
+
+    return parse
+
+
+def _parse_pieces(with_payload: bool):
+    """Archives as (file, what stands between two separators), a file's rows in order."""
+
+    def parse(batches):
+        pieces = ((file, piece.as_py() + _SEPARATOR) for batch in batches for file, piece in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
+        yield from _rows(((piece for _, piece in own) for _, own in groupby(pieces, key=itemgetter(0))), with_payload)
 
     return parse
 
 
 def read_archives(spark, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per record of the archives below path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-    return files.mapInArrow(_parse(with_payload), RECORDS)
+    """One row per record of the archives below path: *.gz in a stream, *.warc, which Spark would split anywhere, whole (up to 2 GB)."""
+
+    def files(form: str, glob: str) -> DataFrame:
+        return spark.read.format(form).option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("lineSep", CRLF * 2).load(path)
+
+    streamed = files("text", "*.gz").select("_metadata.file_path", F.col("value").cast("binary")).mapInArrow(_parse_pieces(with_payload), RECORDS)
+    plain = files("binaryFile", "*.warc")
+    return streamed.unionAll(plain.select("content").mapInArrow(_parse_whole(with_payload), RECORDS)) if plain.inputFiles() else streamed
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
