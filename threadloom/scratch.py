@@ -16,8 +16,10 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def prepare(spark: SparkSession) -> None:
     """Lets Python workers of a local session import this package where the driver's folder isn't theirs."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    if spark.sparkContext.master.startswith("local[") and root not in os.environ.get("PYTHONPATH", "").split(":"):
-        spark.sparkContext.environment["PYTHONPATH"] = root
+    workers = spark.sparkContext.environment
+    paths = [p for p in workers.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if spark.sparkContext.master.startswith("local[") and root not in paths:
+        workers["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def scratch_root(spark: SparkSession) -> str:
