@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm.common import table
 
-#: Entries of a worker's memo generation.
+#: A worker remembers up to 2.25 times as many entries in each of two generations: units after a space, first units, other pre-tokens.
 MEMO = 200_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Fixed value: the published pattern of byte-level BPE's first vocabulary.
@@ -89,7 +89,12 @@ class MinimalPerfectHash:
         return self.slots[-d - 1 if d < 0 else ((h >> 17) % self.n + d * ((h >> 41) | 1)) % self.n]
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def byte_pairs(ranks: dict[bytes, int]) -> list[list[int]]:
+    """The rank of each pair of bytes, or -1, by first and second byte."""
+    return [[ranks.get(bytes((a, b)), -1) for b in range(256)] for a in range(256)]
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], pairs: list[list[int]]) -> list[int]:
     """Byte-pair merges by rank, leftmost first, with a heap over a linked list of the piece's bytes.
 
     A heap entry is rank and place in one integer; it is stale if the pair that now begins at its
@@ -99,8 +104,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     get = ranks.get
     ends = list(range(1, n + 1))  # where the part that starts here ends
     before = list(range(-1, n))  # where the part before the one that starts here starts
-    pair = [get(piece[i : i + 2], -1) for i in range(n)]
-    pair[-1] = -1
+    pair = [pairs[a][b] for a, b in zip(piece, piece[1:])]  # of the part that starts here and the next
+    pair.append(-1)
     heap = [r << 32 | i for i, r in enumerate(pair) if r >= 0]
     heapq.heapify(heap)
     pop, push = heapq.heappop, heapq.heappush
@@ -159,7 +164,7 @@ class _Pieces(_Memo):
     def make(self, piece: str) -> str:
         codec, key = self.codec, piece.encode()
         i = codec.hash.candidate(key)
-        return str(i) if codec.tokens[i] == key else " ".join(map(str, merge(key, codec.ranks)))
+        return str(i) if codec.tokens[i] == key else " ".join(map(str, merge(key, codec.ranks, codec.pairs)))
 
 
 class _Units(_Memo):
@@ -171,10 +176,10 @@ class _Units(_Memo):
         if not unit or unit[0].isspace() or unit[-1].isspace():
             raise _Irregular
         pieces = self.codec.pieces
-        if unit.isalpha():
-            return pieces[self.lead + unit]
+        if unit.isalpha():  # remembered here, not among the pieces as well
+            return pieces.make(self.lead + unit)
         if unit[-1] in ".,;:!?" and unit[:-1].isalpha():
-            return pieces[self.lead + unit[:-1]] + " " + pieces[unit[-1]]
+            return self[unit[:-1]] + " " + pieces[unit[-1]]
         return " ".join(map(pieces.__getitem__, self.codec.pattern.findall(self.lead + unit)))
 
 
@@ -187,9 +192,10 @@ class Codec:
         self.tokens, self.pattern, self.hash = tokens, regex.compile(pattern), phash or MinimalPerfectHash(tokens)
         self.by_units = pattern == UNIT_PATTERN
         self.ranks = {t: i for i, t in enumerate(tokens)}
+        self.pairs = byte_pairs(self.ranks)
         self.spelled = {str(i): t for i, t in enumerate(tokens)}
-        self.pieces = _Pieces(self, MEMO)
-        self.first, self.later = _Units(self, MEMO // 4), _LaterUnits(self, MEMO)
+        self.pieces = _Pieces(self, MEMO // 4)
+        self.first, self.later = _Units(self, MEMO // 4), _LaterUnits(self, 7 * MEMO // 4)
 
     def encode_text(self, text: str) -> str:
         """The ids as decimal numbers joined by one space."""
