@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 # Results depend on exactly these words, patterns and sizes.
 STOP_WORDS = (
-    "a an and are as at be been but by for from had has have he her his i if in into is it its itself me more most my no not of on or our ours s she so t "
-    "than that the their theirs them themselves then there these they this those to too up us very was we were what when where which who why with you your "
-    "yours ycombinator hn news item id https http www com"
-).split()
+    "a", "an", "and", "are", "as", "at", "be", "been", "but", "by", "for", "from", "had", "has", "have", "he", "her", "his", "i", "if",
+    "in", "into", "is", "it", "its", "itself", "me", "more", "most", "my", "no", "not", "of", "on", "or", "our", "ours", "s", "she", "so",
+    "t", "than", "that", "the", "their", "theirs", "them", "themselves", "then", "there", "these", "they", "this", "those", "to", "too",
+    "up", "us", "very", "was", "we", "were", "what", "when", "where", "which", "who", "why", "with", "you", "your", "yours", "ycombinator",
+    "hn", "news", "item", "id", "https", "http", "www", "com",
+)
 ENTITIES = (("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
 FORUM_HOST = "news.ycombinator.com"
 MAX_STORY_TOKENS = 96
