@@ -95,11 +95,6 @@ def _archive(spark, d):
     return _once(spark, d, "archive", make)
 
 
-def _point(spark, d):
-    path, bounds = _archive(spark, d)
-    return sinks.look_up(spark, path, bounds, _POINT).drop("sid")
-
-
 def _related(spark, d):
     return _once(spark, d, "related", lambda: related.Related(_items(spark, d)))
 
@@ -326,7 +321,7 @@ def _entries() -> dict:
         "src8_export": (lambda s, d: ingest.exportable(i(s, d).withColumn("deleted", (F.col("id") % 13 == 0).cast("int"))), plain + "select * from items where not id % 13 = 0"),
         "prj_scalar_functions": (_fn_spark, _FN_SQL),
         "flt1_with_parent": (lambda s, d: edges.with_parent(i(s, d)).select("id", "parent"), plain + "select id, parent from items where parent is not null and parent <> 0"),
-        "flt7_point_lookup": (_point, plain + f"select * from items where id = {_POINT}"),
+        "flt7_point_lookup": (lambda s, d: adapter.item(s, d, _POINT), plain + f"select * from items where id = {_POINT}"),
         "flt7_user_lookup": (lambda s, d: catalog.user(_users(s, d).drop("avg_score"), "USER7"), us + "select * from users where user_key = 'user7'"),
         "flt7_children": (lambda s, d: catalog.children(e(s, d), _PARENT), sh + f"select * from edges where parent_id = {_PARENT}"),
         "src11_author_scan": (lambda s, d: catalog.author_scan(i(s, d).select("id", "author", "time"), "USER2", "user30"), plain + "select id, author, time from items where lower(author) >= 'user2' and lower(author) < 'user30'"),
