@@ -3,7 +3,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from threadloom.operators import gather
 from threadloom.plans import registry
 from threadloom.sources import adapter, ingest
 
@@ -47,3 +49,38 @@ def test_latest_leaves_lines_where_they_are_read(spark, monkeypatch):
     text = ingest.latest(one.sparkSession.createDataFrame(rows, one.schema))
     text.collect()
     assert "Exchange hashpartitioning" not in text._jdf.queryExecution().executedPlan().toString()
+
+
+@needs_data
+def test_ordered_scan_deals_no_texts(spark, monkeypatch):
+    want = sorted(map(tuple, adapter.items(spark, DATA).collect()))
+    monkeypatch.setattr(adapter, "PART_ROWS", 100)
+    scan = registry.queries()["src4_ordered_scan"](spark, DATA)
+    parts = scan.withColumn("part", F.spark_partition_id()).collect()
+    assert [tuple(r)[:-1] for r in parts] == want and [r.part for r in parts] == sorted(r.part for r in parts) and len({r.part for r in parts}) > 5
+    plan = scan._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    dealt = next(k for k, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert any("text" in line for line in plan[:dealt]) and not any("text#" in line for line in plan[dealt:])
+
+
+def test_gather_equals_a_left_join(spark, monkeypatch):
+    import random
+
+    random.seed(8)
+    monkeypatch.setattr(gather, "GROUP_BYTES", 2000)
+    keyed = [(random.choice([k, k - 5000, 77]), random.choice([None, "", "é" * (k % 50), "x" * (k % 700)])) for k in range(3000)] + [(None, "lost"), (2**63 - 1, "most"), (-(2**63), "least")]
+    table = spark.createDataFrame(keyed, "k long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = gather.by_key(table, "k", "text", "keyed")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert all(a[1] <= b[0] for a, b in zip(files, files[1:], strict=False)) and len(files) > 1
+    rows = [(i, random.choice([i, i % 40, -i, None, 10**12])) for i in range(2000)] + [(2000, 2**63 - 1), (2001, -(2**63)), (2002, 77), (2003, 0)]
+    left = spark.createDataFrame(rows, "id long, key long").coalesce(1).sortWithinPartitions("id")
+    want = sorted(map(repr, left.join(table.where("k is not null"), left.key == table.k, "left").select("id", "key", "text").collect()))
+    for out in (gather.OUT_BYTES, 300):
+        monkeypatch.setattr(gather, "OUT_BYTES", out)
+        got = gather.gather(left, [("key", files, "text")]).collect()
+        assert [r.id for r in got] == sorted(r.id for r in got) and sorted(map(repr, got)) == want
+    assert [tuple(r) for r in gather.gather(left.where("id < 2"), [("key", [], "text")]).collect()] == [(*r, None) for r in rows[:2]]

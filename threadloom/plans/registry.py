@@ -95,6 +95,10 @@ def _archive(spark, d):
     return _once(spark, d, "archive", make)
 
 
+def _ordered(spark, d):
+    return adapter.ordered_items(spark, d, _once(spark, d, "keyed-texts", lambda: adapter.keyed_texts(spark, d)))
+
+
 def _related(spark, d):
     return _once(spark, d, "related", lambda: related.Related(_items(spark, d)))
 
@@ -317,7 +321,7 @@ def _entries() -> dict:
     rel_cols = "component_id, root_story_id, member_count, edge_count, rank_score, latest_time, max_story_score, story_points_sum, comment_count, incoming_link_count, years_csv"
     return {
         "src1_ingest_lines": (lambda s, d: ingest.latest(ingest.parse_lines(_lines(s, d))).drop("kids", "descendants"), plain + "select *, 0 as dead, 0 as deleted from (select id, time, type, author, title, text, url, score, parent from items)"),
-        "src4_ordered_scan": (lambda s, d: i(s, d).repartitionByRange("id").sortWithinPartitions("id"), plain + "select * from items"),
+        "src4_ordered_scan": (_ordered, plain + "select * from items"),
         "src8_export": (lambda s, d: ingest.exportable(i(s, d).withColumn("deleted", (F.col("id") % 13 == 0).cast("int"))), plain + "select * from items where not id % 13 = 0"),
         "prj_scalar_functions": (_fn_spark, _FN_SQL),
         "flt1_with_parent": (lambda s, d: edges.with_parent(i(s, d)).select("id", "parent"), plain + "select id, parent from items where parent is not null and parent <> 0"),
