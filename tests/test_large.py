@@ -84,3 +84,15 @@ def test_gather_equals_a_left_join(spark, monkeypatch):
         got = gather.gather(left, [("key", files, "text")]).collect()
         assert [r.id for r in got] == sorted(r.id for r in got) and sorted(map(repr, got)) == want
     assert [tuple(r) for r in gather.gather(left.where("id < 2"), [("key", [], "text")]).collect()] == [(*r, None) for r in rows[:2]]
+
+
+@needs_data
+def test_ordered_scan_where_python_cannot_read(spark, monkeypatch):
+    def closed(path):
+        raise ValueError("unrecognized filesystem")
+
+    monkeypatch.setattr(gather, "_open", closed)
+    texts = adapter.keyed_texts(spark, DATA)
+    assert texts == {"url": None, "text": None}
+    got = adapter.ordered_items(spark, DATA, texts).collect()
+    assert got == sorted(adapter.items(spark, DATA).collect(), key=lambda r: r.id)
