@@ -51,6 +51,47 @@ def test_latest_leaves_lines_where_they_are_read(spark, monkeypatch):
     assert "Exchange hashpartitioning" not in text._jdf.queryExecution().executedPlan().toString()
 
 
+def test_latest_tells_dumps_apart(spark, monkeypatch):
+    import random
+
+    random.seed(9)
+    rows = [(random.randrange(-70, 200), random.choice(["a", "b", None]), k, f"x{k}", random.choice(["0", "1", "1.0", None])) for k in range(2000)]
+    best = {}
+    for r in rows:
+        at = (r[4] or "", r[0])
+        best[at] = max(best.get(at, r), r, key=lambda x: (x[1] or "", x[2]))
+    want = sorted((r[0], r[3]) for r in best.values())
+    lines = spark.createDataFrame(rows, "id long, file string, place long, text string, dump string").repartition(3)
+    once = lines.where("place % 20 = 0").dropDuplicates(["id", "dump"])
+    for size in (ingest.MARKS_BYTES, 0):
+        monkeypatch.setattr(ingest, "MARKS_BYTES", size)
+        assert sorted(map(tuple, ingest.latest(lines).collect())) == want
+        assert ingest.latest(once).count() == once.count()
+
+
+@needs_data
+@pytest.mark.parametrize("repeated", [["events"], ["documents", "pages"]])
+def test_ingest_returns_all_rows_of_repeated_ids(spark, tmp_path, repeated):
+    """Keys of the test tables repeat: as whole copies of rows, and with other columns."""
+    duckdb = pytest.importorskip("duckdb")
+    from collections import Counter
+
+    con = duckdb.connect()
+    keys = {"documents": "doc_id", "pages": "page_id", "events": "event_id"}
+    for name, key in keys.items():
+        more = f"union all from t where {key} in (3, 4) union all from t where {key} = 4 union all select * replace ({key} - 30 as {key}) from t where {key} >= 30 and {key} < 45" if name in repeated else ""
+        # events whose text and url there are: a table of repeated keys has fewer keys than rows
+        only = "where (event_id + 1) % (select count(*) from documents) in (select doc_id from documents) and (event_id + 1) % (select count(*) from pages) in (select page_id from pages)" if name == "events" else ""
+        con.sql(f"copy (with t as (from '{DATA}/{name}.parquet' {only}) from t {more}) to '{tmp_path}/{name}.parquet' (format parquet)")
+        con.sql(f"create view {name} as from '{tmp_path}/{name}.parquet'")
+    sql = con.sql(registry.oracle_sql()["src1_ingest_lines"])
+    columns, want = sql.columns, sql.fetchall()
+    assert len(set(want)) > len({r[0] for r in want})
+    got = registry.queries()["src1_ingest_lines"](spark, str(tmp_path))
+    assert sorted(got.columns) == sorted(columns)
+    assert Counter(map(tuple, got.select(columns).collect())) == Counter(want)
+
+
 @needs_data
 def test_ordered_scan_deals_no_texts(spark, monkeypatch):
     want = sorted(map(tuple, adapter.items(spark, DATA).collect()))

@@ -108,12 +108,14 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _lines(spark, d):
-    """The items as two dumps' JSON lines; the first dump has older scores, ids and times as strings or fractions, and lines that can't be read."""
-    i = _items(spark, d)
+    """The items as two dumps' JSON lines; the first dump has older scores, ids and times as strings or fractions, and lines that can't be read.
+    Of items with the same id, each is in a pair of dumps of its own."""
+    i = adapter.dumped_items(spark, d)
+    dump = ["dump"] if "dump" in i.columns else []
     line = F.to_json(F.struct(F.col("id"), F.col("time"), F.col("type"), F.col("author").alias("by"), F.coalesce("title", F.lit("")).alias("title"), F.col("text"), F.col("url"), F.col("score"), F.col("parent")), {"ignoreNullFields": "false"})
     old = F.concat(F.lit('{"id":"'), F.col("id"), F.lit('","time":'), F.coalesce(F.concat(F.col("time").cast("string"), F.lit(".75")), F.lit("null")), F.lit(',"type":"old","score":-1}'))
-    first = i.select(F.explode(F.array(old, F.lit(""), F.lit("{broken"), F.lit('{"time":3}'))).alias("value"), F.lit("a.json.gz").alias("file"), F.col("id").alias("place"))
-    return first.union(i.select(F.explode(F.array(line)), F.lit("b.json.gz"), F.col("id")))  # as a generator's output, lines are made once
+    first = i.select(F.explode(F.array(old, F.lit(""), F.lit("{broken"), F.lit('{"time":3}'))).alias("value"), F.lit("a.json.gz").alias("file"), F.col("id").alias("place"), *dump)
+    return first.union(i.select(F.explode(F.array(line)), F.lit("b.json.gz"), F.col("id"), *dump))  # as a generator's output, lines are made once
 
 
 _SHARD_SQL = f"""{ITEMS_SQL},
